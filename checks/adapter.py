@@ -9,57 +9,70 @@ from pyspark.sql import functions as F
 AS_OF = "2002-01-01"
 
 
+# The schemas of the tables read here. Stating them saves a job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _date_plus(start, days):
-    return F.date_add(F.lit(start).cast("date"), days.cast("int"))
+def events(spark, sf_dir):
+    return _read(spark, sf_dir, "events")
 
 
 def locations(spark, sf_dir):
     """25 locations, five to a city, as they are before normalisation."""
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
-    key = F.col("n_nationkey")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        key.alias("location_id"),
-        F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("location_name"),
-        F.concat(key.cast("string"), F.lit(" Main STREET ")).alias("address"),
-        F.concat(F.lit("\t"), F.col("r_name")).alias("city"),
-        F.lit("CA ").alias("state"),
-        (key + 90000).alias("zip_code"),
-        (key * 1.5).alias("latitude"),
-        (key * 2.25 - 120.0).alias("longitude"),
+    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey AS location_id",
+        "concat(' ', n_name, '\t') AS location_name",
+        "concat(n_nationkey, ' Main STREET ') AS address",
+        "concat('\t', r_name) AS city",
+        "'CA ' AS state",
+        "n_nationkey + 90000 AS zip_code",
+        "n_nationkey * 1.5D AS latitude",
+        "n_nationkey * 2.25D - 120D AS longitude",
     )
 
 
 def _users(spark, sf_dir):
     """Customers; the solvent ones come twice, those of one nation also without a key."""
-    customer = _read(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    copies = F.array_compact(F.array(
-        F.lit("first"),
-        F.when(F.col("c_acctbal") > 5000, F.lit("again")),
-        F.when(F.col("c_nationkey") == 7, F.lit("keyless")),
-    ))
-    created = _date_plus("1995-01-01", key * 977 % 2557)
-    rows = customer.withColumn("copy", F.explode(copies)).withColumn(
-        "creation_date", F.date_add(created, F.when(F.col("copy") == "again", 1).otherwise(0))
-    )
-    part = F.split(F.col("c_name"), "#")
-    return rows.select(
-        F.when(F.col("copy") != "keyless", key.cast("string")).alias("user_id"),
-        F.concat(F.lit("  "), F.upper(part[0]), F.lit("\t")).alias("first_name"),
-        F.concat(F.lit("No"), part[1], F.lit(" ")).alias("last_name"),
-        F.concat(F.lit("user"), key, F.lit("@example.org")).alias("email"),
-        F.concat(F.lit("555-"), key).alias("phone_number"),
-        F.concat(F.lit("AB"), key).alias("driver_license_number"),
-        _date_plus("2003-01-01", key % 1000).alias("driver_license_expiry"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "*",
+        "explode(array_compact(array('first', IF(c_acctbal > 5000, 'again', NULL), "
+        "IF(c_nationkey = 7, 'keyless', NULL)))) AS copy",
+    ).selectExpr(
+        "*",
+        "date_add(DATE '1995-01-01', CAST(c_custkey * 977 % 2557 + IF(copy = 'again', 1, 0) AS INT))"
+        " AS creation_date",
+    ).selectExpr(
+        "IF(copy <> 'keyless', CAST(c_custkey AS STRING), NULL) AS user_id",
+        "concat('  ', upper(split_part(c_name, '#', 1)), '\t') AS first_name",
+        "concat('No', split_part(c_name, '#', 2), ' ') AS last_name",
+        "concat('user', c_custkey, '@example.org') AS email",
+        "concat('555-', c_custkey) AS phone_number",
+        "concat('AB', c_custkey) AS driver_license_number",
+        "date_add(DATE '2003-01-01', CAST(c_custkey % 1000 AS INT)) AS driver_license_expiry",
         "creation_date",
-        (F.col("c_acctbal") > 0).cast("int").alias("is_active"),
-        F.col("creation_date").alias("update_at"),
-        F.col("c_mktsegment").alias("segment"),
+        "CAST(c_acctbal > 0 AS INT) AS is_active",
+        "creation_date AS update_at",
+        "c_mktsegment AS segment",
     )
 
 
@@ -69,35 +82,29 @@ def users(spark, sf_dir):
 
 def vehicles(spark, sf_dir):
     """Parts; small sizes come twice, one brand also without a key."""
-    part = _read(spark, sf_dir, "part")
-    key, size = F.col("p_partkey"), F.col("p_size")
-    copies = F.array_compact(F.array(
-        F.lit("first"),
-        F.when(size <= 10, F.lit("again")),
-        F.when(F.col("p_brand") == "Brand#3", F.lit("keyless")),
-    ))
-    rows = part.withColumn("copy", F.explode(copies)).withColumn(
-        "certification_date", _date_plus("1990-01-01", size * 87)
-    )
-    updated = F.timestamp_add(
-        "MINUTE", F.when(F.col("copy") == "again", 2000).otherwise(600),
-        F.col("certification_date").cast("timestamp_ntz"),
-    )
-    return rows.select(
-        (size > 10).cast("int").alias("active"),
-        F.lpad(key.cast("string"), 7, "0").alias("vehicle_license_number"),
-        F.col("p_name").alias("registration_name"),
-        F.when(size > 25, "FOR HIRE VEHICLE").otherwise("LEASED VEHICLE").alias("license_type"),
-        F.date_format(_date_plus("2003-01-01", key % 900), "dd-MM-yyyy").alias("expiration_date"),
-        F.concat(F.lit("P"), key).alias("permit_license_number"),
+    return _read(spark, sf_dir, "part").selectExpr(
+        "*",
+        "explode(array_compact(array('first', IF(p_size <= 10, 'again', NULL), "
+        "IF(p_brand = 'Brand#3', 'keyless', NULL)))) AS copy",
+        "date_add(DATE '1990-01-01', p_size * 87) AS certification_date",
+    ).selectExpr(
+        "CAST(p_size > 10 AS INT) AS active",
+        "lpad(CAST(p_partkey AS STRING), 7, '0') AS vehicle_license_number",
+        "p_name AS registration_name",
+        "IF(p_size > 25, 'FOR HIRE VEHICLE', 'LEASED VEHICLE') AS license_type",
+        "date_format(date_add(DATE '2003-01-01', CAST(p_partkey % 900 AS INT)), 'dd-MM-yyyy')"
+        " AS expiration_date",
+        "concat('P', p_partkey) AS permit_license_number",
         "certification_date",
-        F.year("certification_date").alias("vehicle_year"),
-        F.concat(F.lit("(555)"), key).alias("base_telephone_number"),
-        F.concat(F.col("p_name"), F.lit(" road")).alias("base_address"),
-        F.when(F.col("copy") != "keyless", key.cast("string")).alias("vehicle_id"),
-        F.date_format(updated, "dd-MM-yyyy HH:mm:ss").alias("last_update_timestamp"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_type").alias("vehicle_type"),
+        "year(certification_date) AS vehicle_year",
+        "concat('(555)', p_partkey) AS base_telephone_number",
+        "concat(p_name, ' road') AS base_address",
+        "IF(copy <> 'keyless', CAST(p_partkey AS STRING), NULL) AS vehicle_id",
+        "date_format(timestampadd(MINUTE, IF(copy = 'again', 2000, 600), "
+        "CAST(certification_date AS TIMESTAMP_NTZ)), 'dd-MM-yyyy HH:mm:ss')"
+        " AS last_update_timestamp",
+        "p_brand AS brand",
+        "p_type AS vehicle_type",
     )
 
 
@@ -106,20 +113,20 @@ def transactions(spark, sf_dir):
     lineitem = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        supplier, F.col("l_suppkey") == F.col("s_suppkey")
+    rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
+        supplier, lineitem.l_suppkey == supplier.s_suppkey
     )
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    end = F.timestamp_add("MINUTE", order % 1440, F.col("l_shipdate"))
-    return rows.select(
-        F.concat_ws("-", order, line).alias("rental_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("vehicle_id"),
-        F.timestamp_add("HOUR", -F.col("l_quantity").cast("bigint"), end).alias("rental_start_time"),
-        end.alias("rental_end_time"),
-        F.col("s_nationkey").cast("string").alias("pickup_location"),
-        ((order + line) % 27).cast("string").alias("dropoff_location"),
-        F.col("l_extendedprice").alias("total_amount"),
+    return rows.selectExpr(
+        "*", "timestampadd(MINUTE, l_orderkey % 1440, l_shipdate) AS rental_end_time"
+    ).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS rental_id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "CAST(l_partkey AS STRING) AS vehicle_id",
+        "timestampadd(HOUR, -CAST(l_quantity AS BIGINT), rental_end_time) AS rental_start_time",
+        "rental_end_time",
+        "CAST(s_nationkey AS STRING) AS pickup_location",
+        "CAST((l_orderkey + l_linenumber) % 27 AS STRING) AS dropoff_location",
+        "l_extendedprice AS total_amount",
     )
 
 

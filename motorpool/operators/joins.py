@@ -1,6 +1,7 @@
 """Joins of many rows to a table with unique keys, safe against hot keys."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_FRACTION = 0.01
 # A key above this share of the rows is split, each piece staying below the share.
@@ -16,11 +17,28 @@ def _broadcast_limit(spark):
     return int(digits) << shift if int(digits) > 0 else -1
 
 
-def fits_broadcast(table):
-    """Whether Spark's own size estimate lets it broadcast this table."""
+def _text_bytes(table):
+    lengths = [
+        F.coalesce(F.octet_length(f.name), F.lit(0))
+        for f in table.schema if isinstance(f.dataType, T.StringType)
+    ]
+    return F.coalesce(F.sum(sum(lengths, F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"))
+
+
+def broadcastable(table):
+    """The table, ready to be broadcast, or None where it is too large for that.
+
+    Spark broadcasts by itself what it estimates to be under the session's threshold.
+    Its estimate for a derived table may be far too high, so what exceeds it is
+    measured: first the row count, which a written table answers from its footers.
+    """
     limit = _broadcast_limit(table.sparkSession)
-    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate) <= limit
+    if int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit:
+        return table
+    fixed = table.count() * 8 * (len(table.columns) + 1)
+    if fixed > limit or fixed + table.agg(_text_bytes(table)).first()[0] > limit:
+        return None
+    return F.broadcast(table)
 
 
 def hot_key_splits(rows, key):
@@ -45,8 +63,9 @@ def lookup_join(rows, lookup, key, spread_by, how="inner"):
     lookup row is repeated, once per piece (2 / HOT_SHARE rows in all at most).
     Rows with an unknown key are dealt out the same way.
     """
-    if fits_broadcast(lookup):
-        return rows.join(lookup, key, how)
+    small = broadcastable(lookup)
+    if small is not None:
+        return rows.join(small, key, how)
 
     spark = rows.sparkSession
     key_type = rows.schema[key].dataType.simpleString()

@@ -1,6 +1,8 @@
 """The daily run: extract a window, update history and fact, rebuild the marts."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from ..functions import business_today
 from ..operators import scd2_step, window_filter
@@ -11,14 +13,23 @@ from ..sources.warehouse import OPEN, UNDATED
 from . import marts, staging, star
 
 
+def together(steps):
+    """Results by name of independent steps, whose jobs share the cluster: one step
+    fills the executors that the last tasks of another leave idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def extract_window(warehouse, sources, start, today):
     """Land the window ``[start, today)`` of every source and return the raw tables."""
-    raw = {}
-    for table, column in WINDOW_COLUMNS.items():
+    yesterday = today - dt.timedelta(days=1)
+
+    def extract(table, column):
         rows = window_filter(sources[table], column, start, today)
-        path = land_extract(rows, warehouse.landing(), table, today - dt.timedelta(days=1))
-        raw[table] = load_raw(warehouse.spark, path)
-    return raw
+        return load_raw(warehouse.spark, land_extract(rows, warehouse.landing(), table, yesterday))
+
+    return together({t: partial(extract, t, c) for t, c in WINDOW_COLUMNS.items()})
 
 
 def snapshot(warehouse, name, batch, key, check_columns, seen_at):
@@ -57,18 +68,19 @@ def extend_fact(warehouse, users, vehicles, locations):
 
 
 def build_marts(warehouse, fact, users, vehicles, locations):
+    """The wide view and the four marts, each rebuilt from the whole fact."""
     wide = star.denormalized_transactions(fact, users, vehicles, locations)
-    return {
-        "denormalized_transactions": warehouse.view("denormalized_transactions", wide),
-        "users_summary": warehouse.write_table(
-            "users_summary", marts.users_summary(fact, users, vehicles, locations)),
-        "vehicles_summary": warehouse.write_table(
-            "vehicles_summary", marts.vehicles_summary(fact, users, vehicles, locations)),
-        "daily_performance": warehouse.write_table(
-            "daily_performance", marts.daily_performance(fact, locations)),
-        "daily_top_entities": warehouse.write_table(
-            "daily_top_entities", marts.daily_top_entities(fact, users, vehicles, locations)),
+    warehouse.materialize("denormalized_transactions", "view", wide)
+    plans = {
+        "users_summary": marts.users_summary(fact, users, vehicles, locations),
+        "vehicles_summary": marts.vehicles_summary(fact, users, vehicles, locations),
+        "daily_performance": marts.daily_performance(fact, locations),
+        "daily_top_entities": marts.daily_top_entities(fact, users, vehicles, locations),
     }
+    written = together({
+        name: partial(warehouse.materialize, name, "table", rows) for name, rows in plans.items()
+    })
+    return {"denormalized_transactions": wide, **written}
 
 
 def run_day(warehouse, sources, now_utc, as_of=None):
@@ -83,29 +95,39 @@ def run_day(warehouse, sources, now_utc, as_of=None):
     start_date = warehouse.start_date()
     raw = extract_window(warehouse, sources, start_date.get(), today)
 
-    enriched = warehouse.materialize(
-        "location_enrichment", "seed", staging.location_enrichment(sources["locations"]))
-    locations = warehouse.write_table("dim_locations", star.dim_locations(enriched))
-
-    user_history = snapshot(
-        warehouse, "snapshot_users", staging.clean_users(raw["users"]),
-        "user_id", USER_CHECK_COLUMNS, now_utc)
-    vehicle_history = snapshot(
-        warehouse, "snapshot_vehicles",
-        staging.clean_vehicles(staging.casted_vehicles(raw["vehicles"])),
-        "vehicle_id", VEHICLE_CHECK_COLUMNS, now_utc)
-    users = warehouse.write_table("dim_users", star.dim_users(user_history.read([OPEN]), as_of))
-    vehicles = warehouse.write_table(
-        "dim_vehicles", star.dim_vehicles(vehicle_history.read([OPEN]), as_of))
-
-    clean = absorb_rentals(warehouse, raw["transactions"])
-    fact = extend_fact(warehouse, users, vehicles, locations)
-    tables = build_marts(warehouse, fact.read(), users, vehicles, locations)
-
+    def place():
+        seed = staging.location_enrichment(sources["locations"])
+        enriched = warehouse.materialize("location_enrichment", "seed", seed)
+        located = warehouse.materialize("dim_locations", "table", star.dim_locations(enriched))
+        return {"location_enrichment": enriched, "dim_locations": located}
+
+    def know_users():
+        batch = staging.clean_users(raw["users"])
+        history = snapshot(
+            warehouse, "snapshot_users", batch, "user_id", USER_CHECK_COLUMNS, now_utc)
+        users = star.dim_users(history.read([OPEN]), as_of)
+        return {
+            "snapshot_users": history.read(),
+            "dim_users": warehouse.materialize("dim_users", "table", users),
+        }
+
+    def know_vehicles():
+        batch = staging.clean_vehicles(staging.casted_vehicles(raw["vehicles"]))
+        history = snapshot(
+            warehouse, "snapshot_vehicles", batch, "vehicle_id", VEHICLE_CHECK_COLUMNS, now_utc)
+        vehicles = star.dim_vehicles(history.read([OPEN]), as_of)
+        return {
+            "snapshot_vehicles": history.read(),
+            "dim_vehicles": warehouse.materialize("dim_vehicles", "table", vehicles),
+        }
+
+    def take_rentals():
+        return {"clean_transactions": absorb_rentals(warehouse, raw["transactions"]).read()}
+
+    done = together({f.__name__: f for f in [place, know_users, know_vehicles, take_rentals]})
+    tables = {name: rows for part in done.values() for name, rows in part.items()}
+    dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
+    tables["fact_transactions"] = extend_fact(warehouse, *dimensions).read()
+    tables |= build_marts(warehouse, tables["fact_transactions"], *dimensions)
     start_date.set(today, now_utc)
-    return {
-        "location_enrichment": enriched, "dim_locations": locations,
-        "snapshot_users": user_history.read(), "snapshot_vehicles": vehicle_history.read(),
-        "dim_users": users, "dim_vehicles": vehicles,
-        "clean_transactions": clean.read(), "fact_transactions": fact.read(), **tables,
-    }
+    return tables

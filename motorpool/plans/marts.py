@@ -107,19 +107,25 @@ def vehicles_summary(fact, users, vehicles, locations):
 
 
 def daily_performance(fact, locations):
-    """Per calendar day of the rental end."""
-    day = calendar_date(F.col("rental_end_time")).alias("rental_date")
-    daily = _located(fact, locations, ["city"]).groupBy(day).agg(
+    """Per calendar day of the rental end.
+
+    The distinct counts multiply the rows they read by their number, so they run on
+    their own four columns; the two results meet with one row per day.
+    """
+    day = calendar_date(F.col("rental_end_time"))
+    totals = _located(fact, locations).groupBy(day.alias("rental_date")).agg(
         F.count("*").alias("total_transactions"),
-        F.countDistinct("user_id").alias("unique_users"),
-        F.countDistinct("vehicle_id").alias("unique_vehicles"),
         *_measures("total_spent", "avg_spent", "max_spent", "min_spent"),
         *_days("total_rental_days", "avg_rental_duration_days"),
+    )
+    distinct = _located(fact, locations, ["city"]).groupBy(day.alias("_date")).agg(
+        F.countDistinct("user_id").alias("unique_users"),
+        F.countDistinct("vehicle_id").alias("unique_vehicles"),
         F.countDistinct("pickup_city").alias("unique_pickup_cities"),
         F.countDistinct("dropoff_city").alias("unique_dropoff_cities"),
     )
     date = F.col("rental_date")
-    return daily.select(
+    return totals.join(distinct, date.eqNullSafe(F.col("_date"))).select(
         F.year(date).cast("bigint").alias("rental_year"),
         F.month(date).cast("bigint").alias("rental_month"),
         F.dayofmonth(date).cast("bigint").alias("rental_day"),
