@@ -54,14 +54,16 @@ def hot_key_splits(rows, key):
     return [(k, int(s / HOT_SHARE) + 1) for k, s in hot.collect()]
 
 
-def lookup_join(rows, lookup, key, spread_by, how="inner"):
+def lookup_join(rows, lookup, key, spread_by, how="inner", sample_of=None):
     """Join ``rows`` to ``lookup`` (unique on ``key``) on the same-named column.
 
     A lookup under the session's broadcast threshold is broadcast and the rows stay
     where they are. A larger one is shuffled; the rows of a hot key are then dealt
     over several pieces by a hash of the ``spread_by`` columns and only that key's
     lookup row is repeated, once per piece (2 / HOT_SHARE rows in all at most).
-    Rows with an unknown key are dealt out the same way.
+    Rows with an unknown key are dealt out the same way. In a chain of joins the rows
+    it starts from are passed as ``sample_of``, so that looking for hot keys does not
+    run the earlier joins.
     """
     small = broadcastable(lookup)
     if small is not None:
@@ -70,7 +72,10 @@ def lookup_join(rows, lookup, key, spread_by, how="inner"):
     spark = rows.sparkSession
     key_type = rows.schema[key].dataType.simpleString()
     splits = F.broadcast(
-        spark.createDataFrame(hot_key_splits(rows, key), f"{key} {key_type}, _pieces int")
+        spark.createDataFrame(
+            hot_key_splits(rows if sample_of is None else sample_of, key),
+            f"{key} {key_type}, _pieces int",
+        )
     )
     many = F.lit(int(1 / HOT_SHARE))
     pieces = F.when(F.col(key).isNull(), many).otherwise(F.coalesce(F.col("_pieces"), F.lit(1)))
@@ -94,19 +99,21 @@ def integrity_valid(rows, references, spread_by):
     Only existence matters, so these are semi joins: no table column travels and a
     repeated table key cannot multiply rows.
     """
+    first = rows
     for column, table, table_key in references:
-        rows = lookup_join(rows, _present(table, table_key, column), column, spread_by, "left_semi")
+        known = _present(table, table_key, column)
+        rows = lookup_join(rows, known, column, spread_by, "left_semi", first)
     return rows
 
 
 def integrity_quarantine(rows, references, spread_by):
     """The complement, with the names of the dangling columns."""
-    columns = rows.columns
+    first, columns = rows, rows.columns
     missing = []
     for column, table, table_key in references:
         flag = f"_has_{column}"
         known = _present(table, table_key, column).distinct().withColumn(flag, F.lit(True))
-        rows = lookup_join(rows, known, column, spread_by, "left")
+        rows = lookup_join(rows, known, column, spread_by, "left", first)
         missing.append(F.when(F.col(flag).isNull(), F.lit(column)))
     dangling = F.array_compact(F.array(*missing))
     return rows.select(*columns, dangling.alias("missing_references")).where(

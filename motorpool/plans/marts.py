@@ -16,8 +16,8 @@ from .star import at_location
 
 def _located(fact, locations, columns=()):
     """Rentals whose locations still exist, with columns of both ends."""
-    rows = at_location(fact, locations, "pickup", columns)
-    return at_location(rows, locations, "dropoff", columns)
+    rows = at_location(fact, locations, "pickup", columns, fact)
+    return at_location(rows, locations, "dropoff", columns, fact)
 
 
 def _measures(total, average, highest, lowest):
@@ -38,7 +38,8 @@ def _days(total, average):
 def user_favourites(fact, vehicles, locations):
     """Per user the most used vehicle, brand, type, pickup city and dropoff city."""
     labels = vehicles.select("vehicle_id", "brand", "vehicle_type")
-    rows = lookup_join(_located(fact, locations, ["city"]), labels, "vehicle_id", ["rental_id"])
+    located = _located(fact, locations, ["city"])
+    rows = lookup_join(located, labels, "vehicle_id", ["rental_id"], sample_of=fact)
     return mode_by(rows, "user_id", {
         "most_used_vehicle_id": "vehicle_id",
         "most_used_vehicle_brand": "brand",
@@ -138,6 +139,9 @@ def daily_performance(fact, locations):
 def _daily_top(fact, locations, key, count_name):
     day = calendar_date(F.col("rental_end_time")).alias("rental_date")
     rows = _located(fact, locations).select(day, key)
+    # What the joins on top would filter anyway; said here, the counts are planned the
+    # same wherever they are used, and shuffled once.
+    rows = rows.where(F.col("rental_date").isNotNull() & F.col(key).isNotNull())
     return top_per_group(rows, "rental_date", key, count_name)
 
 

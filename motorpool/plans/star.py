@@ -72,7 +72,7 @@ def fact_quarantine(rentals, users, vehicles, locations):
 LOCATION_COLUMNS = ["location_name", "address", "city", "state", "zip_code", "latitude", "longitude"]
 
 
-def at_location(rows, locations, role, columns):
+def at_location(rows, locations, role, columns, fact):
     """Inner join to the ``role`` (pickup, dropoff) location, columns prefixed by the role.
 
     The seed is the one dimension that can lose rows, so readers of the fact join it
@@ -85,7 +85,7 @@ def at_location(rows, locations, role, columns):
         F.col("location_id").alias(f"{role}_location"),
         *[F.col(c).alias(name) for c, name in named.items()],
     )
-    return lookup_join(rows, lookup, f"{role}_location", ["rental_id"])
+    return lookup_join(rows, lookup, f"{role}_location", ["rental_id"], sample_of=fact)
 
 
 def denormalized_transactions(fact, users, vehicles, locations):
@@ -93,10 +93,10 @@ def denormalized_transactions(fact, users, vehicles, locations):
     vehicle_columns = vehicles.withColumnsRenamed({
         "last_update_timestamp": "vehicle_last_update_timestamp", "brand": "vehicle_brand",
     })
-    wide = at_location(fact, locations, "pickup", LOCATION_COLUMNS)
-    wide = at_location(wide, locations, "dropoff", LOCATION_COLUMNS)
-    wide = lookup_join(wide, vehicle_columns, "vehicle_id", ["rental_id"])
-    wide = lookup_join(wide, users, "user_id", ["rental_id"])
+    wide = at_location(fact, locations, "pickup", LOCATION_COLUMNS, fact)
+    wide = at_location(wide, locations, "dropoff", LOCATION_COLUMNS, fact)
+    wide = lookup_join(wide, vehicle_columns, "vehicle_id", ["rental_id"], sample_of=fact)
+    wide = lookup_join(wide, users, "user_id", ["rental_id"], sample_of=fact)
     end = F.col("rental_end_time")
     return wide.select(
         "rental_id",

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Dimensions this small (as files, of the columns a join needs) stay off the shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     # Data-frame files written with nanosecond datetimes are read as BIGINT nanos.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
