@@ -68,7 +68,8 @@ def differences(spark, con, name, sf_dir):
 if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:] or list(QUERIES)
-    session = build_session("compare", "local[8]")
+    session = build_session("compare", "local[8]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     database = connect(folder)
     failed = 0

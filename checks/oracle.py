@@ -424,10 +424,7 @@ RUNS = list(zip(range(1, 4), BORDERS, BORDERS[1:]))
 
 
 def three_days():
-    """Clean rentals and fact after each of three windows.
-
-    The repeat of the second run is left out: its window is empty.
-    """
+    """Clean rentals and fact after each of three windows."""
     parts = {}
     for d, low, high in RUNS:
         seen_users = USERS_IN.format(BORDERS[0], high)
@@ -595,5 +592,5 @@ AND user_id NOT IN (SELECT user_id FROM raw_users
     "run_day_fact": query(
         LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], "SELECT * FROM f3",
         three_days()),
-    "run_day_user_history": query(RAW_USERS, USER_VERSIONS, DAYS_OF_USERS),
+    "daily_user_history": query(RAW_USERS, USER_VERSIONS, DAYS_OF_USERS),
 }

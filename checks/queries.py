@@ -13,7 +13,7 @@ from motorpool.operators import (
     row_counts, scd2_step, value_counts, window_filter,
 )
 from motorpool.plans import marts, staging, star
-from motorpool.plans.daily import run_day
+from motorpool.plans.daily import run_day, snapshot
 from motorpool.schemas import USER_CHECK_COLUMNS, VEHICLE_CHECK_COLUMNS
 from motorpool.session import shared_dir
 from motorpool.sources import Warehouse, land_extract, load_raw, read_csv, write_csv
@@ -321,27 +321,35 @@ def parquet_extract_roundtrip(spark, sf_dir):
     return load_raw(spark, path)
 
 
-DAYS = [dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1), dt.datetime(2000, 1, 1, 9),
-        dt.datetime(2002, 1, 1)]
+DAYS = [dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1), dt.datetime(2002, 1, 1)]
+FIRST_START = dt.date(1990, 1, 1)
 
 
-def _run_days(spark, sf_dir):
-    """Three daily runs and a repeat of the second, whose window is empty by then."""
-    warehouse = Warehouse(spark, shared_dir(spark, "warehouse"), period="yyyy-MM")
+def _warehouse(spark):
+    return Warehouse(spark, shared_dir(spark, "warehouse"), period="yyyy")
+
+
+def run_day_fact(spark, sf_dir):
+    """The fact after three daily runs."""
+    warehouse = _warehouse(spark)
     seed = staging.clean_locations(adapter.locations(spark, sf_dir))
     sources = {**_sources(spark, sf_dir), "locations": seed}
-    warehouse.start_date().set(dt.date(1990, 1, 1), dt.datetime(1990, 1, 1))
+    warehouse.start_date().set(FIRST_START, dt.datetime(1990, 1, 1))
     for now in DAYS:
         tables = run_day(warehouse, sources, now)
-    return tables
+    return tables["fact_transactions"]
 
 
-def run_day_fact(spark, sf_dir):
-    return _run_days(spark, sf_dir)["fact_transactions"]
-
-
-def run_day_user_history(spark, sf_dir):
-    return _run_days(spark, sf_dir)["snapshot_users"]
+def daily_user_history(spark, sf_dir):
+    """The stored history of users after three daily windows."""
+    warehouse, start = _warehouse(spark), FIRST_START
+    for now in DAYS:
+        window = window_filter(adapter.users(spark, sf_dir), "update_at", start, now.date())
+        history = snapshot(
+            warehouse, "snapshot_users", staging.clean_users(window), "user_id",
+            USER_CHECK_COLUMNS, now)
+        start = now.date()
+    return history.read()
 
 
 QUERIES = {
@@ -357,7 +365,7 @@ QUERIES = {
         pending_window_counts, business_dates, profile_row_counts, profile_columns,
         profile_null_counts, profile_duplicate_keys, profile_duplicate_rows,
         profile_value_counts, peek_latest_rentals, dangling_new_ids, csv_roundtrip,
-        parquet_extract_roundtrip, run_day_fact, run_day_user_history,
+        parquet_extract_roundtrip, run_day_fact, daily_user_history,
     ]
 }
 QUERIES["clean_transactions_full"] = _rentals

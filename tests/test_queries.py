@@ -4,7 +4,7 @@ import __spark_entry__ as contract
 from checks.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"run_day_fact", "run_day_user_history"}  # run by checks.compare
+SLOW = {"run_day_fact"}  # run by checks.compare
 
 
 def test_every_query_has_its_sql():
