@@ -111,7 +111,8 @@ def vehicles(spark, sf_dir):
 def transactions(spark, sf_dir):
     """Line items; a quarter of the keys repeat and two of 27 dropoffs do not exist."""
     lineitem = _read(spark, sf_dir, "lineitem")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # Orders grow with the line items, so they are shuffled at any size.
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
     supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
         supplier, lineitem.l_suppkey == supplier.s_suppkey
