@@ -3,9 +3,9 @@
 Documents with the same shingle set form a class, joined before anything is compared. The signature
 of a class gives one key per band. In each bucket of equal keys every class is paired with the
 bucket's least class; the pairs are confirmed on the full shingle sets. A bucket that still spans
-several groups afterwards is searched on, each class against the next 1, 2-3, 4-7, ... classes of
-its bucket, wherever the two are not yet in one group, until the bucket is one group or all its pairs
-have been looked at. So no link that any band finds is lost, and a group of copies costs a pair each.
+several groups afterwards is searched on: each class outside the bucket's largest group against the next 1-3,
+4-15, 16-63, ... classes of the bucket that are not in its group, until the bucket is one group or
+all such pairs have been looked at. So no link that any band finds is lost, and a group of copies costs a pair each.
 
 With 40 bands of 6 rows a pair of similarity 0.8 shares a band with probability 1 - 5e-6, a pair of
 0.9 with all but certainty; unrelated documents (similarity 0.05) meet with probability 6e-7.
@@ -28,6 +28,8 @@ from .words import mix, text_list
 SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
+#: Eight bytes each.
+IDS_BROADCAST = 500_000
 _BLOCK_BYTES = 4_000_000
 _PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
@@ -75,8 +77,12 @@ def _confirm(size, percent):
 
 
 def confirmed(docs, pairs, size, percent):
-    """The pairs (u, v) of doc_ids whose whole texts are linked. Each text moves once per partner."""
+    """The pairs (u, v) of doc_ids whose whole texts are linked. Each text moves once per partner;
+    texts without one stay where they are while the ids of the others are few enough to send."""
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    needed = saved(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    if needed.count() <= IDS_BROADCAST:
+        texts = texts.join(F.broadcast(needed), "doc_id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
@@ -98,14 +104,23 @@ def _open_buckets(members, groups):
     return placed.join(split.select("bucket"), "bucket", "left_semi")
 
 
-def _next_pairs(ranked, groups, first, last):
-    """Pairs of classes first..last places apart in a bucket, that are not in one group."""
-    rows = (
+def _outside(ranked, groups):
+    """(all members with their present group, those outside the largest group of their bucket)."""
+    rows = saved(
         ranked.join(groups, ranked["class"] == groups["node"], "left")
-        .select("bucket", "place", "class", F.coalesce("component", "class").alias("grp")))
-    ahead = rows.select(
-        "bucket", F.explode(F.sequence(F.col("place") + first, F.col("place") + last)).alias("place"),
-        F.col("class").alias("u"), F.col("grp").alias("g"))
+        .select("bucket", "place", "n", "class", F.coalesce("component", "class").alias("grp")))
+    sizes = rows.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("grp", F.struct("n", "grp")).alias("largest"))
+    return rows, rows.join(largest, "bucket").where("grp <> largest").drop("largest")
+
+
+def _next_pairs(rows, outside, first, last):
+    """Pairs of an outside class and one first..last places on in the bucket's ring, not yet in one
+    group."""
+    ahead = outside.where(F.col("n") > first).select(
+        "bucket", F.explode(F.sequence(F.lit(first), F.least(F.lit(last), F.col("n") - 1))).alias("step"),
+        "place", "n", F.col("class").alias("u"), F.col("grp").alias("g"))
+    ahead = ahead.select("bucket", ((F.col("place") + F.col("step") - 1) % F.col("n") + 1).alias("place"), "u", "g")
     return (
         ahead.join(rows, ["bucket", "place"]).where("g <> grp")
         .select(F.least("u", "class").alias("u"), F.greatest("u", "class").alias("v")).distinct())
@@ -127,7 +142,7 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     keyed = leaders.select(F.col("doc_id").alias("class"), F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     members = saved(keyed.join(shared.where("least < most").select("bucket", "least"), "bucket"))
-    pairs = members.where("class > least").select(F.col("least").alias("u"), F.col("class").alias("v")).distinct()
+    pairs = saved(members.where("class > least").select(F.col("least").alias("u"), F.col("class").alias("v")).distinct())
     links = saved(confirmed(docs, pairs, size, percent).unionByName(repeated.select("u", "v")))
     groups = _groups(links)
 
@@ -135,17 +150,23 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     if not still.isEmpty():
         from pyspark.sql import Window
 
-        ranked = saved(still.dropDuplicates(["bucket", "class"]).withColumn(
-            "place", F.row_number().over(Window.partitionBy("bucket").orderBy("class"))))
-        longest = ranked.agg(F.max("place")).first()[0]
+        still = still.select("bucket", "class").distinct()
+        sizes = still.groupBy("bucket").agg(F.count("*").cast("int").alias("n"))
+        places = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+        ranked = saved(still.withColumn("place", places).join(sizes, "bucket"))
+        longest = ranked.agg(F.max("n")).first()[0]
         first = 1
+        rows_now, outside = _outside(ranked, groups)
         while first < longest:
-            pairs = saved(_next_pairs(ranked, groups, first, 2 * first - 1))
+            pairs = saved(_next_pairs(rows_now, outside, first, 4 * first - 1))
             more = saved(confirmed(docs, pairs, size, percent))
             if not more.isEmpty():
                 links = links.unionByName(more)
                 groups = _groups(links)
-            first *= 2
+                rows_now, outside = _outside(ranked, groups)
+                if outside.isEmpty():
+                    break
+            first *= 4
 
     found = (
         in_class.join(groups, in_class["class"] == groups["node"], "left")
