@@ -2,7 +2,9 @@
 
 import corpus_pipeline
 
-from . import decontamination, language, near_dedup, packing, secret_scan
+from . import (
+    block_dedup, decontamination, language, near_dedup, packing, secret_scan, suffix_dedup,
+)
 from .shared import read
 
 
@@ -14,6 +16,10 @@ def op4_minhash_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op5_block_dedup(spark, sf_dir):
+    return block_dedup.repeats_removed(read(spark, sf_dir, "documents")).drop("text")
+
+
 def op6_decontamination(spark, sf_dir):
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -22,6 +28,10 @@ def op7_packing(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeats_removed(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_language(spark, sf_dir):
     return language.languages(read(spark, sf_dir, "documents"))
 
