@@ -3,15 +3,24 @@
 import corpus_pipeline
 
 from . import (
-    block_dedup, decontamination, language, near_dedup, packing, secret_scan, suffix_dedup,
+    block_dedup, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
+    secret_scan, suffix_dedup,
 )
 from .shared import read
 
 
+def op1_html_text(spark, sf_dir):
+    return html_text.extracted(read(spark, sf_dir, "pages"))
+
+
 def op2_secret_scan(spark, sf_dir):
     return secret_scan.secrets(read(spark, sf_dir, "documents"))
 
 
+def op3_private_data(spark, sf_dir):
+    return private_data.private(read(spark, sf_dir, "documents"))
+
+
 def op4_minhash_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -32,6 +41,11 @@ def op8_suffix_dedup(spark, sf_dir):
     return suffix_dedup.repeats_removed(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op9_nearest(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    return nearest.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op10_language(spark, sf_dir):
     return language.languages(read(spark, sf_dir, "documents"))
 
