@@ -30,7 +30,7 @@ PERCENT = 80
 BANDS, ROWS = 40, 6
 #: Eight bytes each.
 IDS_BROADCAST = 500_000
-_BLOCK_BYTES = 4_000_000
+_BLOCK_BYTES = 2_000_000
 _PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
@@ -70,9 +70,13 @@ def _place(size, bands, rows):
 def _confirm(size, percent):
     def confirm(batches):
         for batch in batches:
-            a, b = (shingle_sets(text_list(batch[c]), size) for c in ("text_u", "text_v"))
-            keep = pa.array([linked(x, y, percent) for x, y in zip(a, b, strict=True)], pa.bool_())
-            yield batch.select(["u", "v"]).filter(keep)
+            held = np.cumsum([len(a) + len(b) for a, b in zip(text_list(batch["text_u"]), text_list(batch["text_v"]), strict=True)])
+            cuts = np.flatnonzero(np.diff(held // _BLOCK_BYTES, prepend=-1) > 0) if len(held) else held
+            for first, end in zip(cuts, [*cuts[1:], len(held)], strict=True):
+                part = batch.slice(first, end - first)
+                a, b = (shingle_sets(text_list(part[c]), size) for c in ("text_u", "text_v"))
+                keep = pa.array([linked(x, y, percent) for x, y in zip(a, b, strict=True)], pa.bool_())
+                yield part.select(["u", "v"]).filter(keep)
     return confirm
 
 
