@@ -5,7 +5,8 @@ of a class gives one key per band. In each bucket of equal keys every class is p
 bucket's least class; the pairs are confirmed on the full shingle sets. A bucket that still spans
 several groups afterwards is searched on: each class outside the bucket's largest group against the next 1-3,
 4-15, 16-63, ... classes of the bucket that are not in its group, until the bucket is one group or
-all such pairs have been looked at. So no link that any band finds is lost, and a group of copies costs a pair each.
+all such pairs have been looked at. (Pairs whose signatures differ in so many slots, or whose sizes
+differ so much, that a link is out of the question are passed over: 5.5 standard errors.) So no link that any band finds is lost, and a group of copies costs a pair each.
 
 With 40 bands of 6 rows a pair of similarity 0.8 shares a band with probability 1 - 5e-6, a pair of
 0.9 with all but certainty; unrelated documents (similarity 0.05) meet with probability 6e-7.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import saved
 from .shingles import linked, shingle_sets
-from .superminhash import band_keys, signatures
+from .superminhash import band_keys, signatures, sketches
 from .words import mix, text_list
 
 SHINGLE_WORDS = 5
@@ -31,7 +32,7 @@ BANDS, ROWS = 40, 6
 #: Eight bytes each.
 IDS_BROADCAST = 500_000
 _BLOCK_BYTES = 2_000_000
-_PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
+_PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
 
 
 def _blocks(batches, limit=_BLOCK_BYTES):
@@ -57,13 +58,14 @@ def _place(size, bands, rows):
     def place(batches):
         for ids, texts in _blocks(batches):
             sets = shingle_sets(texts, size)
-            keys = band_keys(signatures(sets, bands * rows), bands)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(ids) + 1) * bands, pa.int32()), pa.array(keys.reshape(-1)))
+            signature = signatures(sets, bands * rows)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
+                for x in (band_keys(signature, bands), sketches(signature))]
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(_sum_hashes(sets, 1)), pa.array(_sum_hashes(sets, 2)), lists,
-            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                pa.array(_sum_hashes(sets, 1)), pa.array(_sum_hashes(sets, 2)), *lists,
+            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
     return place
 
 
@@ -84,7 +86,8 @@ def confirmed(docs, pairs, size, percent):
     """The pairs (u, v) of doc_ids whose whole texts are linked. Each text moves once per partner;
     texts without one stay where they are while the ids of the others are few enough to send."""
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    needed = saved(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    needed = saved(
+        pairs.select(F.col("u").alias("doc_id")).distinct().unionByName(pairs.select(F.col("v").alias("doc_id")).distinct()).distinct())
     if needed.count() <= IDS_BROADCAST:
         texts = texts.join(F.broadcast(needed), "doc_id", "left_semi")
     both = (
@@ -112,21 +115,36 @@ def _outside(ranked, groups):
     """(all members with their present group, those outside the largest group of their bucket)."""
     rows = saved(
         ranked.join(groups, ranked["class"] == groups["node"], "left")
-        .select("bucket", "place", "n", "class", F.coalesce("component", "class").alias("grp")))
-    sizes = rows.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("grp", F.struct("n", "grp")).alias("largest"))
+        .select(*ranked.columns, F.coalesce("component", "class").alias("grp")))
+    sizes = rows.groupBy("bucket", "grp").agg(F.count("*").alias("of_group"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("grp", F.struct("of_group", "grp")).alias("largest"))
     return rows, rows.join(largest, "bucket").where("grp <> largest").drop("largest")
 
 
-def _next_pairs(rows, outside, first, last):
+def _far(slots, percent):
+    """SQL: two classes whose sketches (a, b) differ in more slots than a linked pair's do, by more
+    than 5.5 standard errors; and sizes that rule a link out."""
+    share = 0.75 * (1 - percent / 100)  # of the slots: differing ones differ in two bits 3 times of 4
+    most = slots * share + 5.5 * (slots * share * (1 - share)) ** 0.5
+    differ = " + ".join(
+        f"bit_count(((a[{i}] ^ b[{i}]) | shiftrightunsigned(a[{i}] ^ b[{i}], 1)) & {0x555555555555555})"
+        for i in range(-(-slots // 30)))
+    return f"({differ}) > {most:.1f} OR 100 * least(size_a, size_b) < {percent} * greatest(size_a, size_b)"
+
+
+def _next_pairs(rows, outside, first, last, far):
     """Pairs of an outside class and one first..last places on in the bucket's ring, not yet in one
-    group."""
+    group and not far from each other."""
     ahead = outside.where(F.col("n") > first).select(
         "bucket", F.explode(F.sequence(F.lit(first), F.least(F.lit(last), F.col("n") - 1))).alias("step"),
-        "place", "n", F.col("class").alias("u"), F.col("grp").alias("g"))
-    ahead = ahead.select("bucket", ((F.col("place") + F.col("step") - 1) % F.col("n") + 1).alias("place"), "u", "g")
+        "place", "n", F.col("class").alias("u"), F.col("grp").alias("g"), F.col("sketch").alias("a"),
+        F.col("n_shingles").alias("size_a"))
+    ahead = ahead.withColumn("place", (F.col("place") + F.col("step") - 1) % F.col("n") + 1).drop("step", "n")
+    ahead = ahead.withColumnRenamed("bucket", "in_bucket").withColumnRenamed("place", "at")
+    there = rows.withColumnsRenamed({"sketch": "b", "n_shingles": "size_b"})
+    meet = (F.col("in_bucket") == F.col("bucket")) & (F.col("at") == F.col("place")) & (F.col("g") != F.col("grp"))
     return (
-        ahead.join(rows, ["bucket", "place"]).where("g <> grp")
+        ahead.join(there, meet & ~F.expr(far))
         .select(F.least("u", "class").alias("u"), F.greatest("u", "class").alias("v")).distinct())
 
 
@@ -157,12 +175,15 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
         still = still.select("bucket", "class").distinct()
         sizes = still.groupBy("bucket").agg(F.count("*").cast("int").alias("n"))
         places = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-        ranked = saved(still.withColumn("place", places).join(sizes, "bucket"))
+        drawn = leaders.select(F.col("doc_id").alias("class"), "sketch", "n_shingles").dropDuplicates(["class"])
+        ranked = saved(still.withColumn("place", places).join(sizes, "bucket").join(drawn, "class"))
+        tested, far = pairs, _far(bands * rows, percent)
         longest = ranked.agg(F.max("n")).first()[0]
         first = 1
         rows_now, outside = _outside(ranked, groups)
         while first < longest:
-            pairs = saved(_next_pairs(rows_now, outside, first, 4 * first - 1))
+            pairs = saved(_next_pairs(rows_now, outside, first, 4 * first - 1, far).join(tested, ["u", "v"], "left_anti"))
+            tested = tested.unionByName(pairs)
             more = saved(confirmed(docs, pairs, size, percent))
             if not more.isEmpty():
                 links = links.unionByName(more)

@@ -57,3 +57,13 @@ def band_keys(signature, bands):
             key = mix(key * _STEP ^ signature[:, column])
         keys[:, band] = key
     return keys.view(np.int64)
+
+
+def sketches(signature):
+    """Two bits of each slot, 30 slots to a 64-bit number; slots that differ mostly differ here."""
+    low = signature & np.uint64(3)
+    width = -(-signature.shape[1] // 30)
+    out = np.zeros((len(signature), width), dtype=np.uint64)
+    for slot in range(signature.shape[1]):
+        out[:, slot // 30] |= low[:, slot] << np.uint64(2 * (slot % 30))
+    return out.view(np.int64)
