@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .shared import pieces
+from .shared import pieces, saved
 from .words import text_list, word_spans
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -28,13 +28,10 @@ SHARD_TOKENS = 20_000_000
 _PACKED = "shard int, bin int, capacity int, offset int, doc_id bigint, piece int, start bigint, length int"
 
 
-def _count_words(texts: pa.Array) -> pa.Array:
-    return pa.array([len(word_spans(np.frombuffer(t, np.uint8))[0]) for t in text_list(texts)], pa.int64())
-
-
-def words_of(text="text"):
-    """Length of a text: its words, as a column; 0 for null."""
-    return F.arrow_udf(_count_words, "bigint")(text)
+def _counted(batches):
+    for batch in batches:
+        words = [len(word_spans(np.frombuffer(t, np.uint8))[0]) for t in text_list(batch["text"])]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(words, pa.int64())], names=["doc_id", "n"])
 
 
 class _Waiting:
@@ -123,7 +120,12 @@ def packed(docs, length=None, capacities=CAPACITIES, shard_tokens=SHARD_TOKENS):
     """(shard, bin, capacity, offset, doc_id, piece, start, length): where each piece of each row of
     docs goes; start and length are in units of length, a bigint column (words of text if None)."""
     most = max(capacities)
-    sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (words_of() if length is None else length).alias("n"))
+    ids = F.col("doc_id").cast("bigint").alias("doc_id")
+    if length is None:
+        sized = docs.select(ids, "text").mapInArrow(_counted, "doc_id bigint, n bigint")
+    else:
+        sized = docs.select(ids, length.cast("bigint").alias("n"))
+    sized = saved(sized)  # two numbers a row; the text isn't read again
     total = sized.agg(F.sum("n")).first()[0] or 0
     cut = sized.where("n > 0").select(
         "doc_id", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {most}"))).alias("k"))

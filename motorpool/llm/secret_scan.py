@@ -33,7 +33,6 @@ KINDS = (
 )
 TOKENS = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % TOKEN_LEAST
 _SPAN = "struct<at:int,kind_order:int,end:int,kind:string>"
-_NONE = F.expr(f"CAST(array() AS array<{_SPAN}>)")
 
 
 def _bound(value, use):
@@ -170,7 +169,7 @@ def accepted(docs, false_share=FALSE_SHARE):
 def random_spans(text, limits):
     """Spans of the tokens that pass for random under limits."""
     if not limits:
-        return _NONE
+        return F.expr(f"CAST(array() AS array<{_SPAN}>)")
     known = F.create_map(*[F.lit(x) for (enc, size), p in sorted(limits.items()) for x in (enc * 1000 + size, p)])
 
     def random(t):
