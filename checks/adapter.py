@@ -89,7 +89,7 @@ def vehicles(spark, sf_dir):
         "date_add(DATE '1990-01-01', p_size * 87) AS certification_date",
     ).selectExpr(
         "CAST(p_size > 10 AS INT) AS active",
-        "lpad(CAST(p_partkey AS STRING), 7, '0') AS vehicle_license_number",
+        "lpad(CAST(p_partkey AS STRING), greatest(7, length(CAST(p_partkey AS STRING))), '0') AS vehicle_license_number",
         "p_name AS registration_name",
         "IF(p_size > 25, 'FOR HIRE VEHICLE', 'LEASED VEHICLE') AS license_type",
         "date_format(date_add(DATE '2003-01-01', CAST(p_partkey % 900 AS INT)), 'dd-MM-yyyy')"

@@ -51,7 +51,7 @@ def raw_vehicles():
 SELECT CAST(p_size > 10 AS INTEGER) AS active,
        CASE WHEN length(CAST(p_partkey AS VARCHAR)) < 7
             THEN lpad(CAST(p_partkey AS VARCHAR), 7, '0')
-            ELSE left(CAST(p_partkey AS VARCHAR), 7) END AS vehicle_license_number,
+            ELSE CAST(p_partkey AS VARCHAR) END AS vehicle_license_number,
        p_name AS registration_name,
        CASE WHEN p_size > 25 THEN 'FOR HIRE VEHICLE' ELSE 'LEASED VEHICLE' END AS license_type,
        strftime(DATE '2003-01-01' + CAST(p_partkey % 900 AS INTEGER), '%d-%m-%Y') AS expiration_date,
@@ -578,7 +578,9 @@ FROM events GROUP BY 1""",
     "profile_null_counts": query(RAW_VEHICLES, NULL_COUNTS),
     "profile_duplicate_keys": query(["raw_transactions"], duplicates("rental_id")),
     "profile_duplicate_rows": query(
-        ["raw_transactions"], duplicates("user_id, vehicle_id, pickup_location")),
+        ["raw_transactions"], duplicates(
+            "rental_id, user_id, vehicle_id, rental_start_time, rental_end_time, "
+            "pickup_location, dropoff_location, total_amount")),
     "profile_value_counts": query(RAW_VEHICLES, """
 SELECT brand, count(*) AS count FROM raw_vehicles WHERE brand IS NOT NULL
 GROUP BY brand ORDER BY count DESC, brand"""),

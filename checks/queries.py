@@ -5,11 +5,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from motorpool.functions import (
-    business_date, calendar_date, datetime_text, is_weekend, nanos_to_datetime,
+    business_date, is_weekend, nanos_to_datetime,
 )
 from motorpool.operators import (
-    column_summary, current_versions, dedup_latest, duplicate_count, history_from_changes,
-    keyed_update, lookup_join, merge_upsert, new_keys, null_counts, peek, pending_counts,
+    column_summary, duplicate_count, history_from_changes,
+    keyed_update, merge_upsert, new_keys, null_counts, peek, pending_counts,
     row_counts, scd2_step, value_counts, window_filter,
 )
 from motorpool.plans import marts, staging, star
@@ -285,7 +285,7 @@ def profile_duplicate_keys(spark, sf_dir):
 
 def profile_duplicate_rows(spark, sf_dir):
     rows = adapter.transactions(spark, sf_dir)
-    return duplicate_count(rows.select("user_id", "vehicle_id", "pickup_location"))
+    return duplicate_count(rows)
 
 
 def profile_value_counts(spark, sf_dir):

@@ -24,6 +24,11 @@ def leading_date_from_text(col):
     return F.to_date(F.left(col, F.lit(10)), DATE_TEXT)
 
 
+def leading_date_or_null(col):
+    """The same where text without a date may occur: NULL for it."""
+    return F.try_to_date(F.left(col, F.lit(10)), DATE_TEXT)
+
+
 def datetime_from_text(col):
     return F.to_timestamp_ntz(col, F.lit(DATETIME_TEXT))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import leading_date_from_text
+from ..functions.dates import leading_date_or_null
 from .profile import row_counts
 
 # The column that dates a row of each source table.
@@ -18,12 +18,13 @@ def window_filter(rows, column, start, end):
     """Rows dated in ``[start, end)``; rows without a date are left out.
 
     A date or datetime column is compared bare, which reaches the source as a
-    pushed filter. Text starts with ``dd-MM-yyyy`` and is parsed first.
+    pushed filter. Text that starts with ``dd-MM-yyyy`` is parsed first; other
+    text has no date.
     """
     data_type = rows.schema[column].dataType
     value = F.col(column)
     if isinstance(data_type, T.StringType):
-        value, data_type = leading_date_from_text(value), T.DateType()
+        value, data_type = leading_date_or_null(value), T.DateType()
     low, high = (F.lit(str(d)).cast("date").cast(data_type) for d in (start, end))
     return rows.where((value >= low) & (value < high))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from motorpool import schemas
 from motorpool.plans import daily, marts, staging, star
-from motorpool.plans.daily import run_day
+from motorpool.plans.daily import absorb_rentals, extend_fact, run_day
 from motorpool.sources import Warehouse
 from motorpool.streaming import stream_rentals
 
@@ -196,3 +196,24 @@ def test_streamed_files_equal_the_daily_batches(spark, tmp_path):
         ("r1", 10.0)]
     assert arrive([rental("r1", T(2025, 7, 2, 9), amount=5.0), rental("r9", T(2025, 7, 1, 9))]) == [
         ("r1", 5.0)]  # r9 is late
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_files_per_batch_decides_nothing(spark, tmp_path, files_per_batch):
+    warehouse = opened(spark, tmp_path)
+    tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
+    dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
+    rows = [rental("r3", T(2025, 7, 1, 12)), rental("r2", T(2025, 7, 1, 11)),
+            rental("r2", T(2025, 7, 1, 10), amount=5.0), rental("r1", T(2025, 7, 1, 9))]
+    folder = str(tmp_path / "arrivals")
+    for row in rows:  # newest first: end times fall from file to file
+        spark.createDataFrame([row], schemas.TRANSACTIONS).coalesce(1).write.mode("append").parquet(folder)
+    streamed, whole = (Warehouse(spark, str(tmp_path / name)) for name in ("streamed", "whole"))
+    stream_rentals(streamed, folder, str(tmp_path / "checkpoint"), dimensions, files_per_batch)
+    absorb_rentals(whole, spark.createDataFrame(rows, schemas.TRANSACTIONS))
+    extend_fact(whole, *dimensions)
+    for table in ("clean_transactions", "fact_transactions"):
+        got, expected = (rows_of(w.rentals(table).read().select("rental_id", "rental_end_time", "total_amount"))
+                         for w in (streamed, whole))
+        assert got == expected
+        assert [r[0] for r in got] == ["r1", "r2", "r3"]
