@@ -3,29 +3,39 @@
 from pyspark.sql import functions as F
 
 
-def mode_by(rows, key, attributes):
+def mode_by(rows, key, attributes, weight=None):
     """Per key, the most frequent value of each ``{output: input}`` attribute.
 
-    Ties go to the lowest value, NULL counting as a value and coming last. One pass:
-    the attributes are laid under each other, counted, and the best pair of (count,
-    value) is taken by an aggregate. Both steps combine before their shuffle, so
-    neither a hot key nor a hot value gathers in one task.
+    Ties go to the lowest value in the order of its own type, NULL counting as a value
+    and coming last. A row counts once, or as often as its ``weight`` column says. One
+    pass: the attributes are laid under each other, one value column for each type,
+    counted, and the best pair of (count, value) is taken by an aggregate. Both steps
+    combine before their shuffle, so neither a hot key nor a hot value gathers in one
+    task.
     """
-    laid = rows.select(key, *[F.col(c).cast("string").alias(out) for out, c in attributes.items()])
-    counted = (
-        laid.unpivot([key], list(attributes), "_attribute", "_value")
-        .groupBy(key, "_attribute", "_value")
-        .agg(F.count("*").alias("_n"))
-    )
-    candidate = F.struct(
-        (-F.col("_n")).alias("rank"), F.col("_value").isNull().alias("unknown"),
-        F.col("_value").alias("value"),
-    )
     types = {out: rows.schema[c].dataType for out, c in attributes.items()}
-    return counted.groupBy(key).agg(*[
-        F.min(F.when(F.col("_attribute") == out, candidate))["value"].cast(types[out]).alias(out)
-        for out in attributes
+    slots = {t: f"_value{i}" for i, t in enumerate(dict.fromkeys(types.values()))}
+    entries = F.array(*[
+        F.struct(F.lit(out).alias("_attribute"), *[
+            (F.col(c) if types[out] == t else F.lit(None).cast(t)).alias(slot)
+            for t, slot in slots.items()
+        ])
+        for out, c in attributes.items()
     ])
+    times = F.lit(1) if weight is None else F.col(weight)
+    counted = (
+        rows.select(key, times.alias("_times"), F.inline(entries))
+        .groupBy(key, "_attribute", *slots.values())
+        .agg(F.sum("_times").alias("_n"))
+    )
+
+    def best(out):
+        value = F.col(slots[types[out]])
+        candidate = F.struct(
+            (-F.col("_n")).alias("rank"), value.isNull().alias("unknown"), value.alias("value"))
+        return F.min(F.when(F.col("_attribute") == out, candidate))["value"].alias(out)
+
+    return counted.groupBy(key).agg(*[best(out) for out in attributes])
 
 
 def top_per_group(rows, group, key, count_name):

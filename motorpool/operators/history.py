@@ -30,7 +30,7 @@ def scd2_step(history, batch, key, check_columns, seen_at):
     collide, for one between (1, NULL) and (NULL, 1).
 
     The batch is the side that is broadcast when it is small, so a daily delta does
-    not shuffle the open versions; every open version is read once into its result.
+    not shuffle the open versions. The batch is used three times: store it first.
     """
     if history is None:
         return _opened(batch, key, seen_at)
@@ -70,11 +70,22 @@ def current_versions(history):
     return history.where(F.col("valid_to").isNull())
 
 
+def _met(rows, summary, keys):
+    """Inner join in which NULL keys are equal."""
+    there = summary.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+    meet = F.lit(True)
+    for k in keys:
+        meet = meet & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+    return rows.join(there, meet).drop(*[f"_at_{k}" for k in keys])
+
+
 def history_from_changes(changes, key, order, check_columns, bucket=None):
     """Whole history at once from a change log ordered by ``order`` within a key.
 
     Runs of equal watched values make one version, valid from its first change until
     the next version begins. ``order[0]`` is the change time; ``order`` is unique per key.
+    Changes without a key are those of one unknown key; changes without a time come
+    first, with an unknown beginning.
 
     A key may hold a large part of the log, so no window spans a key: rows are compared
     within (key, bucket), by default the calendar day, and the neighbouring value across
@@ -93,7 +104,7 @@ def history_from_changes(changes, key, order, check_columns, bucket=None):
     before = ends.select(key, "_bucket", F.lag("_end").over(buckets).alias("_before"))
     previous = F.coalesce(F.lag("_state").over(piece), F.col("_before"))
     starts = (
-        rows.join(before, [key, "_bucket"])
+        _met(rows, before, [key, "_bucket"])
         .withColumn("_previous", previous)
         .where(F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(F.col("_state")))
         .drop("_previous", "_before", "_state")
@@ -102,6 +113,6 @@ def history_from_changes(changes, key, order, check_columns, bucket=None):
     heads = starts.groupBy(key, "_bucket").agg(F.min(time).alias("_head"))
     after = heads.select(key, "_bucket", F.lead("_head").over(buckets).alias("_after"))
     until = F.coalesce(F.lead(time).over(piece), F.col("_after"))
-    return starts.join(after, [key, "_bucket"]).select(
+    return _met(starts, after, [key, "_bucket"]).select(
         key, *check_columns, F.col(time).alias("valid_from"), until.alias("valid_to")
     )

@@ -35,6 +35,7 @@ def extract_window(warehouse, sources, start, today):
 def snapshot(warehouse, name, batch, key, check_columns, seen_at):
     """One history step. Versions closed on earlier days are neither read nor written."""
     history = warehouse.history(name)
+    batch = history.staged(batch)
     touched = [OPEN, seen_at.date().isoformat()]
     history.commit(scd2_step(history.read(touched), batch, key, check_columns, seen_at), touched)
     return history

@@ -10,7 +10,7 @@ fact row has its user and vehicle, and histories never lose a key.
 from pyspark.sql import functions as F
 
 from ..functions import calendar_date, money_average, money_total
-from ..operators import lookup_join, mode_by, top_per_group
+from ..operators import mode_by, top_per_group
 from .star import at_location
 
 
@@ -36,17 +36,24 @@ def _days(total, average):
 
 
 def user_favourites(fact, vehicles, locations):
-    """Per user the most used vehicle, brand, type, pickup city and dropoff city."""
-    labels = vehicles.select("vehicle_id", "brand", "vehicle_type")
+    """Per user the most used vehicle, brand, type, pickup city and dropoff city.
+
+    Rentals are counted by user and vehicle first; the labels join those counts, so no
+    rental moves to meet its vehicle.
+    """
     located = _located(fact, locations, ["city"])
-    rows = lookup_join(located, labels, "vehicle_id", ["rental_id"], sample_of=fact)
-    return mode_by(rows, "user_id", {
-        "most_used_vehicle_id": "vehicle_id",
-        "most_used_vehicle_brand": "brand",
-        "most_used_vehicle_type": "vehicle_type",
+    cities = mode_by(located, "user_id", {
         "most_used_pickup_city": "pickup_city",
         "most_used_dropoff_city": "dropoff_city",
     })
+    used = located.groupBy("user_id", "vehicle_id").agg(F.count("*").alias("_rentals"))
+    labels = vehicles.select("vehicle_id", "brand", "vehicle_type")
+    driven = mode_by(used.join(labels, "vehicle_id"), "user_id", {
+        "most_used_vehicle_id": "vehicle_id",
+        "most_used_vehicle_brand": "brand",
+        "most_used_vehicle_type": "vehicle_type",
+    }, weight="_rentals")
+    return driven.join(cities, "user_id")
 
 
 def users_summary(fact, users, vehicles, locations):
@@ -90,9 +97,8 @@ def vehicles_summary(fact, users, vehicles, locations):
         F.col("user_id").alias("most_frequent_user_id"),
         F.col("full_name").alias("most_frequent_user_name"),
     )
-    favourites = lookup_join(
-        vehicle_favourites(fact, locations), names, "most_frequent_user_id", ["vehicle_id"], "left"
-    )
+    # One row per vehicle, far fewer than rentals.
+    favourites = vehicle_favourites(fact, locations).join(names, "most_frequent_user_id", "left")
     labels = vehicles.select(
         "vehicle_id", "vehicle_license_number", "active",
         F.col("brand").alias("vehicle_brand"), "vehicle_type", "age_vehicle",
@@ -149,15 +155,13 @@ def daily_top_users(fact, users, locations):
     """One row per day and user with the day's highest number of rentals."""
     top = _daily_top(fact, locations, "user_id", "transactions_per_user")
     names = users.select("user_id", "full_name")
-    named = lookup_join(top, names, "user_id", ["rental_date"])
-    return named.select("rental_date", "user_id", "full_name", "transactions_per_user")
+    return top.join(names, "user_id").select("rental_date", "user_id", "full_name", "transactions_per_user")
 
 
 def daily_top_vehicles(fact, vehicles, locations):
     top = _daily_top(fact, locations, "vehicle_id", "transactions_per_vehicle")
     labels = vehicles.select("vehicle_id", F.col("brand").alias("vehicle_brand"), "vehicle_type")
-    named = lookup_join(top, labels, "vehicle_id", ["rental_date"])
-    return named.select(
+    return top.join(labels, "vehicle_id").select(
         "rental_date", "vehicle_id", "vehicle_brand", "vehicle_type", "transactions_per_vehicle"
     )
 
@@ -171,8 +175,8 @@ def daily_top_entities(fact, users, vehicles, locations):
     """Per day the top users and top vehicles as sorted arrays.
 
     A day's array holds all its ties; the two functions above give the same content
-    one row per entry.
+    one row per entry. Stored tables have no order; readers sort by rental_date.
     """
     top_users = _in_arrays(daily_top_users(fact, users, locations), "top_users")
     top_vehicles = _in_arrays(daily_top_vehicles(fact, vehicles, locations), "top_vehicles")
-    return top_users.join(top_vehicles, "rental_date").orderBy("rental_date")
+    return top_users.join(top_vehicles, "rental_date")

@@ -292,3 +292,25 @@ def test_window_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(rental_end_time" in pushed and "LessThan(" in pushed
     pending = pending_counts({"transactions": rows}, D(2025, 7, 5), D(2025, 7, 6))
     assert rows_of(pending) == [("transactions", 1)]
+
+
+def test_mode_by_breaks_ties_in_the_order_of_the_type(spark):
+    rows = spark.createDataFrame(
+        [("a", 10, "x", 1), ("a", 9, "x", 1), ("b", 7, "y", 1), ("b", 100, "z", 3), ("c", None, None, 1)],
+        "k string, n bigint, s string, times bigint")
+    tops = {"top_n": "n", "top_s": "s"}
+    assert rows_of(mode_by(rows, "k", tops)) == sorted(
+        [("a", 9, "x"), ("b", 7, "y"), ("c", None, None)], key=repr)
+    assert rows_of(mode_by(rows, "k", tops, weight="times")) == sorted(
+        [("a", 9, "x"), ("b", 100, "z"), ("c", None, None)], key=repr)
+
+
+def test_history_from_changes_keeps_unknown_keys_and_times(spark):
+    first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    log = spark.createDataFrame(
+        [("a", first, 1, "x"), (None, first, 2, "y"), (None, second, 3, "z"), ("a", None, 4, "w")],
+        "k string, at timestamp_ntz, id bigint, v string")
+    found = history_from_changes(log, "k", ["at", "id"], ["v"])
+    assert rows_of(found) == sorted([
+        ("a", "x", first, None), ("a", "w", None, first),
+        (None, "y", first, second), (None, "z", second, None)], key=repr)
