@@ -59,15 +59,40 @@ def absorb_rentals(warehouse, raw):
 
 
 def extend_fact(warehouse, users, vehicles, locations):
-    """Merge the clean rentals above the fact's own mark into the fact."""
+    """Merge the clean rentals above the fact's own mark into the fact.
+
+    What stays out is listed first, in ``left_out_transactions``: a run that dies in
+    between lists the same again.
+    """
     clean, fact = warehouse.rentals("clean_transactions"), warehouse.rentals("fact_transactions")
     newest = _newest(fact)
-    rentals = clean.read([p for p in clean.partitions() if newest is None or p >= newest])
-    batch = star.fact_transactions(rentals, users, vehicles, locations, _marked_by(fact))
+    since = [p for p in clean.partitions() if newest is None or p >= newest]
+    rentals = clean.read(since)
+    left_out = warehouse.rentals("left_out_transactions")
+    dimensions = users, vehicles, locations
+    batch = left_out.staged(star.fact_transactions(rentals, *dimensions, _marked_by(fact)))
+    known = batch.select("rental_id", "rental_end_time")
+    if fact.exists():
+        known = known.unionByName(fact.read(since).select("rental_id", "rental_end_time"))
+    out = rentals.join(known, ["rental_id", "rental_end_time"], "left_anti")
+    _list_left_out(left_out, rentals, star.left_out(out, *dimensions), since)
     fact.merge(batch, ["rental_id"])
     return fact
 
 
+def _list_left_out(left_out, rentals, out, since):
+    """Put the rentals left out among the recent ones in place of what was listed for any
+    of these. Older days hold rentals that the fact's mark has passed: nothing moves them
+    but a newer version of the rental, which is recent."""
+    if not left_out.exists():
+        return left_out.commit(out)
+    listed = left_out.read()
+    ids = rentals.select("rental_id")
+    touched = set(since) | left_out.parts_of(listed.join(ids, "rental_id", "left_semi"))
+    kept = left_out.read(sorted(touched)).join(ids, "rental_id", "left_anti")
+    left_out.commit(kept.unionByName(out), touched)
+
+
 def build_marts(warehouse, fact, users, vehicles, locations):
     """The wide view and the four marts, each rebuilt from the whole fact."""
     wide = star.denormalized_transactions(fact, users, vehicles, locations)
@@ -129,6 +154,7 @@ def run_day(warehouse, sources, now_utc, as_of=None):
     tables = {name: rows for part in done.values() for name, rows in part.items()}
     dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
     tables["fact_transactions"] = extend_fact(warehouse, *dimensions).read()
+    tables["left_out_transactions"] = warehouse.rentals("left_out_transactions").read()
     tables |= build_marts(warehouse, tables["fact_transactions"], *dimensions)
     start_date.set(today, now_utc)
     return tables

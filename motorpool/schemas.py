@@ -80,6 +80,7 @@ LAYERS = {
     "dim_vehicles": "reporting_dataset",
     "dim_locations": "reporting_dataset",
     "fact_transactions": "reporting_dataset",
+    "left_out_transactions": "reporting_dataset",
     "users_summary": "reporting_dataset",
     "vehicles_summary": "reporting_dataset",
     "daily_performance": "reporting_dataset",

@@ -69,6 +69,8 @@ def test_one_day(spark, tmp_path):
     facts = tables["fact_transactions"].select("rental_id", "user_id", "rental_duration_days")
     assert rows_of(facts) == [("r1", "u1", 0), ("r2", "u2", 1)]
     assert tables["clean_transactions"].count() == 4
+    assert rows_of(tables["left_out_transactions"].select("rental_id", "reason")) == [
+        ("r3", "dropoff_location"), ("r4", "user_id")]
     assert rows_of(tables["users_summary"].select(
         "user_id", "total_transactions", "most_used_vehicle_brand", "most_used_pickup_city")
     ) == [("u1", 1, "b", "x"), ("u2", 1, "c", "y")]
@@ -98,12 +100,18 @@ def test_days_accumulate_and_repeats_change_nothing(spark, tmp_path):
     second = T(2025, 7, 3, 20)
     tables = run_day(warehouse, again, second)
     names = ["snapshot_users", "snapshot_vehicles", "clean_transactions", "fact_transactions",
+             "left_out_transactions",
              "users_summary", "vehicles_summary", "daily_performance"]
     seen = {n: rows_of(tables[n]) for n in names}
 
     # r4 ended above the fact's mark, so it is tried again now that its user is known.
     facts = rows_of(tables["fact_transactions"].select("rental_id", "total_amount"))
     assert facts == [("r1", 99.0), ("r2", 10.0), ("r4", 10.0), ("r5", 10.0)]
+    # r3 ended below the mark r5 and r4 set: it is listed for good.
+    clean, out = tables["clean_transactions"], tables["left_out_transactions"]
+    assert rows_of(out.select("rental_id", "reason")) == [("r3", "dropoff_location")]
+    both = tables["fact_transactions"].select("rental_id").unionByName(out.select("rental_id"))
+    assert rows_of(both) == rows_of(clean.select("rental_id"))
     history = tables["snapshot_users"].where("user_id = 'u2'").orderBy("valid_from")
     assert [(r["is_active"], r["valid_to"]) for r in history.collect()] == [
         (True, second), (False, None)]
