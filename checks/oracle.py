@@ -443,6 +443,21 @@ def three_days():
     return parts
 
 
+def three_days_left_out():
+    """After each window, what the fact did not take of the rentals above its mark."""
+    parts = three_days()
+    for d, _, _ in RUNS:
+        fresh = "SELECT * FROM c1" if d == 1 else f"SELECT t.* FROM c{d} t WHERE t." + above(f"f{d - 1}")
+        parts[f"n{d}"] = fresh
+        out = (QUARANTINE.replace("FROM rentals t", f"FROM n{d} t")
+               .replace("FROM vehicles)", f"FROM v{d} WHERE vehicle_id IS NOT NULL)")
+               .replace("FROM users)", f"FROM u{d} WHERE user_id IS NOT NULL)"))
+        before = "" if d == 1 else f"""
+UNION ALL SELECT * FROM l{d - 1} WHERE rental_id NOT IN (SELECT rental_id FROM n{d})"""
+        parts[f"l{d}"] = out + before
+    return parts
+
+
 def three_days_of_users():
     parts, versions = {}, []
     for d, low, high in RUNS:
@@ -594,5 +609,8 @@ AND user_id NOT IN (SELECT user_id FROM raw_users
     "run_day_fact": query(
         LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], "SELECT * FROM f3",
         three_days()),
+    "run_day_quarantine": query(
+        LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], "SELECT * FROM l3",
+        three_days_left_out()),
     "daily_user_history": query(RAW_USERS, USER_VERSIONS, DAYS_OF_USERS),
 }

@@ -329,15 +329,24 @@ def _warehouse(spark):
     return Warehouse(spark, shared_dir(spark, "warehouse"), period="yyyy")
 
 
-def run_day_fact(spark, sf_dir):
-    """The fact after three daily runs."""
+def _three_runs(spark, sf_dir):
     warehouse = _warehouse(spark)
     seed = staging.clean_locations(adapter.locations(spark, sf_dir))
     sources = {**_sources(spark, sf_dir), "locations": seed}
     warehouse.start_date().set(FIRST_START, dt.datetime(1990, 1, 1))
     for now in DAYS:
         tables = run_day(warehouse, sources, now)
-    return tables["fact_transactions"]
+    return tables
+
+
+def run_day_fact(spark, sf_dir):
+    """The fact after three daily runs."""
+    return _three_runs(spark, sf_dir)["fact_transactions"]
+
+
+def run_day_quarantine(spark, sf_dir):
+    """The rentals that three daily runs left out of the fact, as the last run stored them."""
+    return _three_runs(spark, sf_dir)["left_out_transactions"]
 
 
 def daily_user_history(spark, sf_dir):
@@ -365,7 +374,7 @@ QUERIES = {
         pending_window_counts, business_dates, profile_row_counts, profile_columns,
         profile_null_counts, profile_duplicate_keys, profile_duplicate_rows,
         profile_value_counts, peek_latest_rentals, dangling_new_ids, csv_roundtrip,
-        parquet_extract_roundtrip, run_day_fact, daily_user_history,
+        parquet_extract_roundtrip, run_day_fact, run_day_quarantine, daily_user_history,
     ]
 }
 QUERIES["clean_transactions_full"] = _rentals

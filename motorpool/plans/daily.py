@@ -4,8 +4,10 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from ..functions import business_today
-from ..operators import scd2_step, window_filter
+from ..operators import above_mark, scd2_step, window_filter
 from ..operators.extract import WINDOW_COLUMNS
 from ..schemas import USER_CHECK_COLUMNS, VEHICLE_CHECK_COLUMNS
 from ..sources import land_extract, load_raw
@@ -61,36 +63,35 @@ def absorb_rentals(warehouse, raw):
 def extend_fact(warehouse, users, vehicles, locations):
     """Merge the clean rentals above the fact's own mark into the fact.
 
-    What stays out is listed first, in ``left_out_transactions``: a run that dies in
-    between lists the same again.
+    Those that stay out are listed first, in ``left_out_transactions``, with the
+    references they miss: a run that dies in between lists the same again.
     """
     clean, fact = warehouse.rentals("clean_transactions"), warehouse.rentals("fact_transactions")
     newest = _newest(fact)
-    since = [p for p in clean.partitions() if newest is None or p >= newest]
-    rentals = clean.read(since)
+    rentals = clean.read([p for p in clean.partitions() if newest is None or p >= newest])
     left_out = warehouse.rentals("left_out_transactions")
     dimensions = users, vehicles, locations
-    batch = left_out.staged(star.fact_transactions(rentals, *dimensions, _marked_by(fact)))
-    known = batch.select("rental_id", "rental_end_time")
-    if fact.exists():
-        known = known.unionByName(fact.read(since).select("rental_id", "rental_end_time"))
-    out = rentals.join(known, ["rental_id", "rental_end_time"], "left_anti")
-    _list_left_out(left_out, rentals, star.left_out(out, *dimensions), since)
-    fact.merge(batch, ["rental_id"])
+    fresh = left_out.staged(above_mark(rentals, _marked_by(fact), "rental_end_time"))
+    _list_left_out(left_out, fresh, star.fact_quarantine(fresh, *dimensions))
+    fact.merge(star.fact_transactions(fresh, *dimensions), ["rental_id"])
     return fact
 
 
-def _list_left_out(left_out, rentals, out, since):
-    """Put the rentals left out among the recent ones in place of what was listed for any
-    of these. Older days hold rentals that the fact's mark has passed: nothing moves them
-    but a newer version of the rental, which is recent."""
+def _list_left_out(left_out, fresh, out):
+    """Put the fresh rentals left out in place of what was listed for any fresh one.
+
+    What is listed below the fact's mark stays for good, with the references that were
+    missing when it was last tried.
+    """
+    out = out.withColumn("missing_references", F.array_join("missing_references", ","))
     if not left_out.exists():
         return left_out.commit(out)
-    listed = left_out.read()
-    ids = rentals.select("rental_id")
-    touched = set(since) | left_out.parts_of(listed.join(ids, "rental_id", "left_semi"))
-    kept = left_out.read(sorted(touched)).join(ids, "rental_id", "left_anti")
-    left_out.commit(kept.unionByName(out), touched)
+    ids = fresh.select("rental_id")
+    again = left_out.read().join(ids, "rental_id", "left_semi")
+    touched = left_out.parts_of(fresh) | left_out.parts_of(again)
+    if touched:
+        kept = left_out.read(sorted(touched)).join(ids, "rental_id", "left_anti")
+        left_out.commit(kept.unionByName(out), touched)
 
 
 def build_marts(warehouse, fact, users, vehicles, locations):

@@ -69,15 +69,6 @@ def fact_quarantine(rentals, users, vehicles, locations):
     return integrity_quarantine(rentals, references(users, vehicles, locations), ["rental_id"])
 
 
-def left_out(rentals, users, vehicles, locations):
-    """Rentals outside the fact with the reason: the references they miss, or ``late``
-    where all exist by now but the fact's mark has passed the rental's end."""
-    missing = fact_quarantine(rentals, users, vehicles, locations).select(
-        "rental_id", F.array_join("missing_references", ",").alias("_missing"))
-    return rentals.join(missing, "rental_id", "left").select(
-        *rentals.columns, F.coalesce("_missing", F.lit("late")).alias("reason"))
-
-
 LOCATION_COLUMNS = ["location_name", "address", "city", "state", "zip_code", "latitude", "longitude"]
 
 

@@ -69,7 +69,7 @@ def test_one_day(spark, tmp_path):
     facts = tables["fact_transactions"].select("rental_id", "user_id", "rental_duration_days")
     assert rows_of(facts) == [("r1", "u1", 0), ("r2", "u2", 1)]
     assert tables["clean_transactions"].count() == 4
-    assert rows_of(tables["left_out_transactions"].select("rental_id", "reason")) == [
+    assert rows_of(tables["left_out_transactions"].select("rental_id", "missing_references")) == [
         ("r3", "dropoff_location"), ("r4", "user_id")]
     assert rows_of(tables["users_summary"].select(
         "user_id", "total_transactions", "most_used_vehicle_brand", "most_used_pickup_city")
@@ -109,7 +109,7 @@ def test_days_accumulate_and_repeats_change_nothing(spark, tmp_path):
     assert facts == [("r1", 99.0), ("r2", 10.0), ("r4", 10.0), ("r5", 10.0)]
     # r3 ended below the mark r5 and r4 set: it is listed for good.
     clean, out = tables["clean_transactions"], tables["left_out_transactions"]
-    assert rows_of(out.select("rental_id", "reason")) == [("r3", "dropoff_location")]
+    assert rows_of(out.select("rental_id", "missing_references")) == [("r3", "dropoff_location")]
     both = tables["fact_transactions"].select("rental_id").unionByName(out.select("rental_id"))
     assert rows_of(both) == rows_of(clean.select("rental_id"))
     history = tables["snapshot_users"].where("user_id = 'u2'").orderBy("valid_from")

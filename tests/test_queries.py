@@ -6,7 +6,7 @@ from checks.oracle import ORACLES
 from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"run_day_fact"}  # run by checks.compare
+SLOW = {"run_day_fact", "run_day_quarantine"}  # run by checks.compare
 
 
 def test_every_query_has_its_sql():
