@@ -3,10 +3,12 @@
 Documents with the same shingle set form a class, joined before anything is compared. The signature
 of a class gives one key per band. In each bucket of equal keys every class is paired with the
 bucket's least class; the pairs are confirmed on the full shingle sets. A bucket that still spans
-several groups afterwards is searched on: each class outside the bucket's largest group against the next 1-3,
-4-15, 16-63, ... classes of the bucket that are not in its group, until the bucket is one group or
-all such pairs have been looked at. (Pairs whose signatures differ in so many slots, or whose sizes
-differ so much, that a link is out of the question are passed over: 5.5 standard errors.) So no link that any band finds is lost, and a group of copies costs a pair each.
+several groups afterwards is searched on: each class outside the bucket's largest group is compared by
+sketch with the next 3 classes of the bucket, then with its blocks of 64 classes, nearest first, until
+the bucket is one group or all blocks have been compared. Only what passes becomes a pair, in the
+bucket of the first band that the two share. (Passed over are pairs whose signatures differ in so many
+slots that a link is out of the question, 4.5 standard errors of SuperMinHash, or whose sizes differ
+too much.) So no link that any band finds is lost, and a group of copies costs a pair each.
 
 With 40 bands of 6 rows a pair of similarity 0.8 shares a band with probability 1 - 5e-6, a pair of
 0.9 with all but certainty; unrelated documents (similarity 0.05) meet with probability 6e-7.
@@ -18,12 +20,13 @@ are one document to the links of all of its texts. An empty table gives an empty
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .shared import saved
 from .shingles import linked, shingle_sets
-from .superminhash import band_keys, signatures, sketches
+from .superminhash import band_keys, signatures, sketches, variance_factor
 from .words import mix, text_list
 
 SHINGLE_WORDS = 5
@@ -32,6 +35,8 @@ BANDS, ROWS = 40, 6
 #: Eight bytes each.
 IDS_BROADCAST = 500_000
 _BLOCK_BYTES = 2_000_000
+#: Classes of a bucket that an outside class is compared with at a time.
+_RING_BLOCK = 64
 _PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
 
 
@@ -111,41 +116,88 @@ def _open_buckets(members, groups):
     return placed.join(split.select("bucket"), "bucket", "left_semi")
 
 
+def _ranked(still):
+    """Open members by place in their bucket, with the bucket's length and its home: a class of the
+    group that is the largest now. Groups only merge, so what is at home once stays there."""
+    sizes = still.groupBy("bucket", "grp").agg(F.count("*").alias("of_group"), F.min("class").alias("first"))
+    homes = sizes.groupBy("bucket").agg(
+        F.max_by("first", F.struct("of_group", "grp")).alias("home"), F.sum("of_group").cast("int").alias("n"))
+    places = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+    return still.select("bucket", "class", places.alias("place")).join(homes, "bucket")
+
+
 def _outside(ranked, groups):
-    """(all members with their present group, those outside the largest group of their bucket)."""
+    """(all members with their present group, those that are not in the group of their bucket's home)."""
     rows = saved(
         ranked.join(groups, ranked["class"] == groups["node"], "left")
         .select(*ranked.columns, F.coalesce("component", "class").alias("grp")))
-    sizes = rows.groupBy("bucket", "grp").agg(F.count("*").alias("of_group"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("grp", F.struct("of_group", "grp")).alias("largest"))
-    return rows, rows.join(largest, "bucket").where("grp <> largest").drop("largest")
+    homes = rows.where(F.col("class") == F.col("home")).select("bucket", F.col("grp").alias("home_grp"))
+    return rows, rows.join(homes, "bucket").where("grp <> home_grp").drop("home_grp")
 
 
 def _far(slots, percent):
     """SQL: two classes whose sketches (a, b) differ in more slots than a linked pair's do, by more
-    than 5.5 standard errors; and sizes that rule a link out."""
-    share = 0.75 * (1 - percent / 100)  # of the slots: differing ones differ in two bits 3 times of 4
-    most = slots * share + 5.5 * (slots * share * (1 - share)) ** 0.5
+    than 4.5 standard errors; and sizes that rule a link out."""
+    unlike = 1 - percent / 100
+    shown = unlike * 15 / 16  # differing slots differ in their four bits 15 times of 16
+
+    def most(union):
+        spread = variance_factor(slots, union) * unlike * (percent / 100) * (15 / 16) ** 2 + unlike * 15 / 256
+        return slots * shown + 4.5 * (slots * spread) ** 0.5
+
+    # Small sets have the smaller variance; a linked pair's union is at most (size_a + size_b) / 1.8.
+    whole = 1 + percent / 100
+    cases = " ".join(f"WHEN size_a + size_b <= {int(u * whole)} THEN {most(u):.1f}" for u in (slots // 2, slots, 2 * slots, 4 * slots))
+    limit = f"CASE {cases} ELSE {slots * shown + 4.5 * (slots * shown * (1 - shown)) ** 0.5:.1f} END"
+    fold = "(a[{i}] ^ b[{i}])"
     differ = " + ".join(
-        f"bit_count(((a[{i}] ^ b[{i}]) | shiftrightunsigned(a[{i}] ^ b[{i}], 1)) & {0x555555555555555})"
-        for i in range(-(-slots // 30)))
-    return f"({differ}) > {most:.1f} OR 100 * least(size_a, size_b) < {percent} * greatest(size_a, size_b)"
-
-
-def _next_pairs(rows, outside, first, last, far):
-    """Pairs of an outside class and one first..last places on in the bucket's ring, not yet in one
-    group and not far from each other."""
-    ahead = outside.where(F.col("n") > first).select(
-        "bucket", F.explode(F.sequence(F.lit(first), F.least(F.lit(last), F.col("n") - 1))).alias("step"),
-        "place", "n", F.col("class").alias("u"), F.col("grp").alias("g"), F.col("sketch").alias("a"),
-        F.col("n_shingles").alias("size_a"))
-    ahead = ahead.withColumn("place", (F.col("place") + F.col("step") - 1) % F.col("n") + 1).drop("step", "n")
-    ahead = ahead.withColumnRenamed("bucket", "in_bucket").withColumnRenamed("place", "at")
-    there = rows.withColumnsRenamed({"sketch": "b", "n_shingles": "size_b"})
+        "bit_count((" + " | ".join(
+            [fold.format(i=i), *(f"shiftrightunsigned({fold.format(i=i)}, {k})" for k in (1, 2, 3))]
+        ) + f") & {0x1111111111111111})"
+        for i in range(-(-slots // 16)))
+    return f"100 * least(size_a, size_b) < {percent} * greatest(size_a, size_b) OR ({differ}) > {limit}"
+
+
+def _same_first(bands):
+    """SQL: the bucket is that of the first band in which both classes (keys_a, keys_b) agree, so a
+    pair that meets in many buckets is made in one."""
+    cases = " ".join(f"WHEN keys_a[{i}] = keys_b[{i}] THEN keys_a[{i}]" for i in range(bands))
+    return f"CASE {cases} END = CAST(in_bucket & {2**31 - 1} AS INT)"
+
+
+def _named(rows, drawn, end):
+    """Members with sketch, size and band keys of their class, named for one end of a pair."""
+    names = {"sketch": end, "n_shingles": f"size_{end}", "keys": f"keys_{end}"}
+    return rows.join(drawn, "class").withColumnsRenamed(names)
+
+
+def _near_places(rows, outside, drawn, last, far):
+    """Pairs of an outside class and one of the next places of the bucket's ring."""
+    ahead = _named(outside, drawn, "a").where("n > 1").select(
+        F.col("bucket").alias("in_bucket"), F.explode(F.sequence(F.lit(1), F.least(F.lit(last), F.col("n") - 1))).alias("step"),
+        F.col("place").alias("from"), F.col("n").alias("ring"), F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a")
+    ahead = ahead.withColumn("at", (F.col("from") + F.col("step") - 1) % F.col("ring") + 1)
     meet = (F.col("in_bucket") == F.col("bucket")) & (F.col("at") == F.col("place")) & (F.col("g") != F.col("grp"))
-    return (
-        ahead.join(there, meet & ~F.expr(far))
-        .select(F.least("u", "class").alias("u"), F.greatest("u", "class").alias("v")).distinct())
+    return ahead.join(_named(rows, drawn, "b"), meet & ~F.expr(far))
+
+
+def _near_blocks(rows, outside, drawn, first, last, far, bands):
+    """Pairs of an outside class and the members of the blocks first..last further on in the ring.
+    Two outside classes meet from the side with fewer blocks between them."""
+    block = lambda place: F.floor((F.col(place) - 1) / _RING_BLOCK).cast("int")
+    ahead = _named(outside, drawn, "a").withColumn("ring", block("n") + 1).where(F.col("ring") > first).select(
+        F.col("bucket").alias("in_bucket"),
+        F.explode(F.sequence(F.lit(first), F.least(F.lit(last), F.col("ring") - 1))).alias("step"),
+        block("place").alias("from"), "ring", F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a", "keys_a")
+    ahead = ahead.withColumn("at", (F.col("from") + F.col("step")) % F.col("ring"))
+    apart = outside.select(F.col("bucket").alias("out_bucket"), F.col("class").alias("out_class"))
+    there = rows.join(apart, (F.col("bucket") == F.col("out_bucket")) & (F.col("class") == F.col("out_class")), "left")
+    there = _named(there.withColumn("is_out", F.col("out_class").isNotNull()).drop("out_bucket", "out_class"), drawn, "b")
+    there = there.withColumn("block", block("place"))
+    meet = (F.col("in_bucket") == F.col("bucket")) & (F.col("at") == F.col("block")) & (F.col("g") != F.col("grp"))
+    once = F.expr(
+        "NOT is_out OR (step > 0 AND 2 * step < ring) OR ((step = 0 OR 2 * step = ring) AND u < class)")
+    return ahead.join(there, meet & once & ~F.expr(far) & F.expr(_same_first(bands)))
 
 
 def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows=ROWS):
@@ -168,21 +220,29 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     links = saved(confirmed(docs, pairs, size, percent).unionByName(repeated.select("u", "v")))
     groups = _groups(links)
 
-    still = _open_buckets(members, groups)
+    still = saved(_open_buckets(members, groups))
     if not still.isEmpty():
-        from pyspark.sql import Window
-
-        still = still.select("bucket", "class").distinct()
-        sizes = still.groupBy("bucket").agg(F.count("*").cast("int").alias("n"))
-        places = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-        drawn = leaders.select(F.col("doc_id").alias("class"), "sketch", "n_shingles").dropDuplicates(["class"])
-        ranked = saved(still.withColumn("place", places).join(sizes, "bucket").join(drawn, "class"))
+        drawn = leaders.join(still.select("class").distinct(), leaders["doc_id"] == F.col("class"), "left_semi")
+        drawn = saved(
+            drawn.select(
+                F.col("doc_id").alias("class"), "sketch", "n_shingles",
+                F.transform("bands", lambda key: key.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("keys"))
+            .dropDuplicates(["class"]))
+        ranked = saved(_ranked(still))
+        blocks = ranked.agg(F.max("n")).first()[0] // _RING_BLOCK + 1
         tested, far = pairs, _far(bands * rows, percent)
-        longest = ranked.agg(F.max("n")).first()[0]
-        first = 1
         rows_now, outside = _outside(ranked, groups)
-        while first < longest:
-            pairs = saved(_next_pairs(rows_now, outside, first, 4 * first - 1, far).join(tested, ["u", "v"], "left_anti"))
+        # The nearest places first, then blocks in growing steps: groups merge before most pairs are due.
+        rounds, first = [None], 0
+        while first < blocks:
+            rounds.append((first, 4 * first + 3))
+            first = 4 * first + 4
+        for due in rounds:
+            made = (
+                _near_places(rows_now, outside, drawn, 3, far) if due is None
+                else _near_blocks(rows_now, outside, drawn, *due, far, bands))
+            made = made.select(F.least("u", "class").alias("u"), F.greatest("u", "class").alias("v")).distinct()
+            pairs = saved(made.join(tested, ["u", "v"], "left_anti"))
             tested = tested.unionByName(pairs)
             more = saved(confirmed(docs, pairs, size, percent))
             if not more.isEmpty():
@@ -191,7 +251,6 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
                 rows_now, outside = _outside(ranked, groups)
                 if outside.isEmpty():
                     break
-            first *= 4
 
     found = (
         in_class.join(groups, in_class["class"] == groups["node"], "left")

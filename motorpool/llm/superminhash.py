@@ -6,6 +6,8 @@ a later step exceed those of all earlier ones, so a set whose slots are all fill
 need few steps. The steps are run one after another over all elements of the sets still open.
 """
 
+import math
+
 import numpy as np
 
 from .words import mix
@@ -60,10 +62,22 @@ def band_keys(signature, bands):
 
 
 def sketches(signature):
-    """Two bits of each slot, 30 slots to a 64-bit number; slots that differ mostly differ here."""
-    low = signature & np.uint64(3)
-    width = -(-signature.shape[1] // 30)
+    """Four bits of each slot, 16 slots to a 64-bit number; slots that differ mostly differ here."""
+    low = signature & np.uint64(15)
+    width = -(-signature.shape[1] // 16)
     out = np.zeros((len(signature), width), dtype=np.uint64)
     for slot in range(signature.shape[1]):
-        out[:, slot // 30] |= low[:, slot] << np.uint64(2 * (slot % 30))
+        out[:, slot // 16] |= low[:, slot] << np.uint64(4 * (slot % 16))
     return out.view(np.int64)
+
+
+def variance_factor(slots, union):
+    """The variance of the share of equal slots, for two sets of so many elements together, against
+    that of independent slots: below 1, and near 1/2 for small sets (from the published analysis)."""
+    def term(step, other):
+        if not other:
+            return 0.0
+        return math.exp(union * (math.log(step) + math.log(other) - math.log(slots - 1) - math.log(slots)) + math.log(slots - 1))
+
+    total = sum(term(k, k + 1) + term(k, k - 1) - 2 * term(k, k) for k in range(1, slots))
+    return 1 - total / (union - 1)
