@@ -3,7 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import pieces, saved
 
 
 def _forest(batches):
@@ -36,11 +36,15 @@ def _forest(batches):
     yield out()
 
 
-def _least(edges):
+#: Edges of a task between two shuffles: rounds over few edges don't leave files of a few bytes each.
+_TASK_EDGES = 20_000
+
+
+def _least(edges, tasks):
     """Each edge (u, v) with the least of u and all its partners. Partners of a hub are combined
     before the shuffle, and the join on u is one that AQE splits."""
     least = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return edges.join(least, "u")
+    return edges.join(least, "u").coalesce(tasks)
 
 
 def components(edges):
@@ -52,18 +56,18 @@ def components(edges):
     """
     forest = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = saved(forest.mapInArrow(_forest, "u bigint, v bigint").where("u != v").distinct())
-    state = None
+    state, tasks = None, pieces(edges.count(), _TASK_EDGES)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = _least(large)
+        large = _least(both, tasks).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = _least(large, tasks)
         edges = saved(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
-            .where("u != v").distinct())
+            .where("u != v").distinct().coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.distinct().coalesce(tasks))

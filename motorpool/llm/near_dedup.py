@@ -235,8 +235,8 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
         # The nearest places first, then blocks in growing steps: groups merge before most pairs are due.
         rounds, first = [None], 0
         while first < blocks:
-            rounds.append((first, 4 * first + 3))
-            first = 4 * first + 4
+            rounds.append((first, 16 * first + 15))
+            first = 16 * first + 16
         for due in rounds:
             made = (
                 _near_places(rows_now, outside, drawn, 3, far) if due is None
