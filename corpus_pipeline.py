@@ -5,14 +5,11 @@ from pyspark.sql import functions as F
 from motorpool.llm import decontamination, language, near_dedup, packing, secret_scan
 from motorpool.llm.shared import read, written
 
-#: A text below this score fits none of the learned languages (1/2: on the border of one).
-LEAST_LANGUAGE_SCORE = 0.2
-
 
 def language_id(spark, docs, sf_dir):
     """Documents in a learned language: those without a letter, or far from all of them, go."""
     found = language.identified(docs, language.fit(docs))
-    good = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    good = found.where((F.col("lang_pred") != language.UNKNOWN) & F.col("near"))
     return good.select(*docs.columns)
 
 

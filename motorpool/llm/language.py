@@ -7,12 +7,20 @@ same number for each language, make the kernel a map into as many dimensions; on
 for each language against the rest is solved there, and texts are scored block by block as
 presence matrix x landmarks x weights.
 
+The scores of a text over all languages have a fixed sum, so the largest says which language is
+nearest and not how near. That is judged apart: the share of the text's n-grams that are known in a
+language (held by KNOWN_SHARE of its fitted rows). The fitted rows, each against the others of its
+language, give a language's limit: NEAR_SHARE of the share that all but a twentieth of them reach. A
+text is far if in every language it falls short of the limit by more than two standard errors for its
+number of n-grams; one word is hardly ever far. A language of fewer than LEAST_ROWS fitted rows takes
+the least limit of the others; where no language has as many, no lettered text is far.
+
 The fit takes at most PER_LANGUAGE rows of each language, those with the least hash of their doc_id,
 and LANDMARKS of them; everything else runs over all rows.
 
 Results in special cases: text that is null or without a letter is `und` with score 0, and so is
 every text where nothing could be learned (empty table, no language given). Rows without doc_id count
-as held out. Equal scores go to the language first in order. Columns lang_pred and score of the
+as held out. Equal scores go to the language first in order. Columns lang_pred, score and near of the
 input are replaced; all others are kept.
 """
 
@@ -30,6 +38,9 @@ PER_LANGUAGE = 250
 LANDMARKS = 128
 RIDGE = 1e-3
 FOLDS = 5
+KNOWN_SHARE = 0.01
+NEAR_SHARE = 0.7
+LEAST_ROWS = 5
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -61,17 +72,31 @@ def presence(texts):
 
 
 def _kernel(rows, landmarks):
-    left, right = rows.astype(np.float32), landmarks.astype(np.float32)
+    left, right = rows.astype(np.float32, copy=False), landmarks.astype(np.float32)
     sizes = np.sqrt(np.outer(left.sum(axis=1), right.sum(axis=1)))
     return (left @ right.T) / np.maximum(sizes, 1)
 
 
+def _known(rows):
+    """(n-grams known in the language of these rows, limit of the share known; None for few rows)."""
+    rows = rows[rows.any(axis=1)]  # an empty text says nothing
+    counts, least = rows.sum(axis=0, dtype=np.int64), max(1, int(np.ceil(KNOWN_SHARE * len(rows))))
+    if len(rows) < LEAST_ROWS:
+        return counts >= least, None
+    shares = [(counts[row] - 1 >= least).mean() for row in rows.astype(bool)]
+    return counts >= least, NEAR_SHARE * float(np.quantile(shares, 0.05))
+
+
 class KernelRidge:
-    """Scores texts; holds the landmarks as bits, the weights and the languages in order."""
+    """Scores texts; holds the landmarks and each language's known n-grams as bits, the weights, the
+    limits of the share known and the languages in order."""
 
-    def __init__(self, languages, landmarks, weights, offsets):
+    def __init__(self, languages, landmarks, weights, offsets, known):
         self.languages, self.bits = languages, np.packbits(landmarks, axis=1)
         self.weights, self.offsets = weights, offsets
+        self.known = np.packbits([grams for grams, _ in known], axis=1)
+        least = min((limit for _, limit in known if limit is not None), default=0.0)
+        self.limits = np.array([least if limit is None else limit for _, limit in known])
 
     @classmethod
     def fit(cls, rows, names, landmarks=LANDMARKS, ridge=RIDGE):
@@ -89,14 +114,19 @@ class KernelRidge:
         spread = (mapped - centre) * weight[:, None]
         gram = spread.T @ (mapped - centre) + ridge * np.eye(mapped.shape[1])
         solved = np.linalg.solve(gram, spread.T @ (target - offsets))
-        return cls(languages, rows[chosen], root @ solved, offsets - centre @ solved)
+        known = [_known(rows[np.array(names) == l]) for l in languages]
+        return cls(languages, rows[chosen], root @ solved, offsets - centre @ solved, known)
 
     def score(self, texts):
-        """The language and a score of 0 to 1 of each text."""
+        """The language, a score of 0 to 1, and whether any language is near, of each text."""
         landmarks = np.unpackbits(self.bits, axis=1)[:, :DIMENSIONS]
-        given = _kernel(presence(texts), landmarks).astype(np.float64) @ self.weights + self.offsets
+        rows = presence(texts).astype(np.float32)
+        given = _kernel(rows, landmarks).astype(np.float64) @ self.weights + self.offsets
         best = given.argmax(axis=1)
-        return [self.languages[b] for b in best], np.clip((given.max(axis=1) + 1) / 2, 0, 1)
+        known = np.unpackbits(self.known, axis=1)[:, :DIMENSIONS].astype(np.float32)
+        held, n = (rows @ known.T).astype(np.float64), rows.sum(axis=1, dtype=np.float64)[:, None]
+        near = (held >= n * self.limits - 2 * np.sqrt(n * self.limits * (1 - self.limits))).any(axis=1)
+        return [self.languages[b] for b in best], np.clip((given.max(axis=1) + 1) / 2, 0, 1), near
 
 
 def _held_out():
@@ -133,32 +163,31 @@ def _scorer(model):
         for column in columns:
             texts = text_list(column)
             lettered = [bool(_LETTER.search(t.decode("utf-8", "replace"))) for t in texts]
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            names, scores, near = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
             todo = [i for i, yes in enumerate(lettered) if yes and model is not None]
             while todo:
                 block, held = [], 0
                 while todo and (not block or held + len(texts[todo[-1]]) <= _BLOCK_BYTES):
                     block.append(todo.pop())
                     held += len(texts[block[-1]])
-                found, given = model.score([texts[i] for i in block])
-                scores[block] = given
+                found, scores[block], near[block] = model.score([texts[i] for i in block])
                 for i, name in zip(block, found, strict=True):
                     names[i] = name
             yield pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
+                [pa.array(names, pa.string()), pa.array(scores), pa.array(near)], ["lang_pred", "score", "near"])
     return score
 
 
 def identified(docs, model):
-    """docs with lang_pred and score of each whole text."""
+    """docs with lang_pred and score of each whole text, and near: whether any learned language is."""
     from collections.abc import Iterator
 
     score = _scorer(model)
     score.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    predict = F.arrow_udf(score, "struct<lang_pred string, score double>")
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    predict = F.arrow_udf(score, "struct<lang_pred string, score double, near boolean>")
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "near")]
     scored = docs.select(*kept, predict("text").alias("\0found"))
-    return scored.select(*kept, F.col("\0found.lang_pred"), F.col("\0found.score"))
+    return scored.select(*kept, F.col("\0found.lang_pred"), F.col("\0found.score"), F.col("\0found.near"))
 
 
 def languages(docs, per_language=PER_LANGUAGE, landmarks=LANDMARKS):
