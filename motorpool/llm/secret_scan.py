@@ -4,24 +4,33 @@ Only DataFrame functions: patterns run in the JVM, and the position of each matc
 lengths of what lies between matches.
 
 Tokens are runs of TOKEN_LEAST or more of [A-Za-z0-9+/_-]. The encoding is inferred from the letters
-in use (hex, base32, alphanumeric, base64). Three tests of the hypothesis that each letter was drawn
-alike and independently: chi-squared of the letter counts, runs above and below the middle of the
-alphabet, and serial correlation of neighbours; their least p-value times three is the token's p.
-Random tokens have p spread evenly over 0..1, text piles up near 0. For each encoding and length
-class the corpus gives the number of random tokens (twice those above one half); the least p accepted
-is the first of a fixed grid at which the share of text among the accepted is estimated at no more
-than FALSE_SHARE. Classes are counted over the whole corpus; short ones, where text and random
-tokens look alike, thus get a strict limit or none.
+in use (see ENCODINGS). Four tests of the hypothesis that each letter was drawn alike and
+independently: chi-squared of the letter counts and of the counts of capitals, small letters and the
+rest, runs above and below the middle of the alphabet, and serial correlation of neighbours; their
+least p-value times four is the token's p. Random tokens have p spread over 0..1, text piles up near 0.
+
+Short text passes such tests now and then, so a class of tokens (encoding and length) has to show
+that what it accepts is random: the letters of its accepted tokens, taken together, must be as even
+as drawn ones. That is no part of a token's p, and text of the same length cannot meet it, since its
+frequent letters are the same from token to token. The first PREFIX letters are left out (kinds of
+keys share them), and a token counts once however often it is repeated. The chi-squared distance of
+the letter shares from even ones, at its upper 95% confidence bound, over the distance of text
+(TEXT_DISTANCE) bounds the squared share of text; the least p accepted is the first of a fixed grid
+at which that share is at most FALSE_SHARE. Few tokens have a wide bound: their class, as one of text
+only, gets no limit, and none of its tokens is listed.
 
 Results in special cases: a null or empty text has no spans. Repeated rows are scanned one by one,
 a null doc_id stays null. Columns of the input other than doc_id and text don't matter.
 """
 
+import math
+
 from pyspark.sql import functions as F
 
 TOKEN_LEAST = 20
 FALSE_SHARE = 0.05
 GRID = (0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
+PREFIX = 8
 
 #: Fixed patterns: kind, pattern, the group whose length counts, its least length. Looking ahead for
 #: a first letter only makes the first one faster.
@@ -82,18 +91,31 @@ def _upper_tail(z):
     return F.exp(-z * z / 2) / F.sqrt(F.lit(6.283185307179586)) * poly
 
 
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encoding: the letters in order. The first whose letters hold a whole token is inferred.
 ENCODINGS = (
-    ("hex", "0123456789abcdef"),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("alnum", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("hex", _DIGITS + "abcdef"),
+    ("base32", _UPPER + "234567"),
+    ("lower", _LOWER + _DIGITS),
+    ("upper", _UPPER + _DIGITS),
+    ("alnum", _UPPER + _LOWER + _DIGITS),
+    ("base64", _UPPER + _LOWER + _DIGITS + "+/"),
 )
+#: For each encoding, a low value of the sum of (share - even share)^2 / even share over the letters
+#: of text in it: numbers for hex, capitals or small letters alone; CamelCase words that pass the tests have 1.5.
+TEXT_DISTANCE = (0.6, 1.0, 1.0, 1.0, 1.0, 1.0)
 
 
 def _encoding(token):
     out = F.when(token.rlike("^[0-9a-f]+$"), 0).when(token.rlike("^[A-Z2-7]+$"), 1)
-    return out.when(token.rlike("^[A-Za-z0-9]+$"), 2).otherwise(3)
+    out = out.when(token.rlike("^[a-z0-9]+$"), 2).when(token.rlike("^[A-Z0-9]+$"), 3)
+    return out.when(token.rlike("^[A-Za-z0-9]+$"), 4).otherwise(5)
+
+
+def _even_letters(encoding):
+    """How many letters of an encoding count for evenness: + and / don't, as a token without them is
+    taken for another encoding."""
+    return min(62, len(ENCODINGS[encoding][1]))
 
 
 def _codes(token):
@@ -104,15 +126,33 @@ def _codes(token):
     return F.transform(letters, lambda c: F.instr(alphabet, c) - 1)
 
 
-def _tested(codes, letters):
+def _chi_tail(chi, freedom):
+    """P(X > chi) of chi-squared, by Wilson and Hilferty's normal."""
+    z = (F.pow(F.greatest(chi, F.lit(0.0)) / freedom, F.lit(1 / 3)) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
+    return F.when(z > 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z))
+
+
+def _kinds_tested(hit, encoding):
+    """p-value of how many capitals, small letters and others a token has."""
+    n = F.char_length(hit).cast("double")
+    upper = n - F.char_length(F.regexp_replace(hit, "[A-Z]", ""))
+    lower = n - F.char_length(F.regexp_replace(hit, "[a-z]", ""))
+    out = F.lit(1.0)
+    for i, (_, alphabet) in enumerate(ENCODINGS):
+        k, up, low = len(alphabet), sum(c in _UPPER for c in alphabet), sum(c in _LOWER for c in alphabet)
+        kinds = [(c, size) for c, size in ((upper, up), (lower, low), (n - upper - lower, k - up - low)) if size]
+        chi = sum((c - n * (size / k)) * (c - n * (size / k)) / (n * (size / k)) for c, size in kinds)
+        out = F.when(encoding == i, _chi_tail(chi, F.lit(float(len(kinds) - 1)))).otherwise(out)
+    return out
+
+
+def _tested(codes, letters, p_kinds):
     """p-value of the battery for a list of places in an alphabet of so many letters."""
     n, k = F.size(codes).cast("double"), letters.cast("double")
     squares = F.aggregate(
         F.array_distinct(codes), F.lit(0.0),
         lambda acc, c: acc + F.pow(F.size(F.filter(codes, lambda x: x == c)).cast("double"), F.lit(2.0)))
-    chi, freedom = k / n * squares - n, k - 1
-    z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / freedom, F.lit(1 / 3)) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
-    p_chi = F.when(z_chi > 0, _upper_tail(z_chi)).otherwise(1 - _upper_tail(-z_chi))
+    p_chi = _chi_tail(k / n * squares - n, k - 1)
     high = F.transform(codes, lambda c: (c >= letters / 2).cast("int"))
     above = F.aggregate(high, F.lit(0), lambda a, x: a + x).cast("double")
     below = n - above
@@ -131,7 +171,7 @@ def _tested(codes, letters):
         F.lit(0.0), lambda acc, x: acc + x)
     # Variance of a product of two places drawn alike: that of one place, squared.
     p_serial = 2 * _upper_tail(F.abs(products) / (((k * k - 1) / 12) * F.sqrt(n - 1)))
-    return F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))
+    return F.least(F.lit(1.0), 4 * F.least(p_chi, p_kinds, p_runs, p_serial))
 
 
 def _tokens(text):
@@ -146,22 +186,33 @@ def _tokens(text):
 
 def _p(hit, encoding):
     letters = F.element_at(F.array(*[F.lit(len(a)) for _, a in ENCODINGS]), encoding + 1)
-    return _bound(_codes(hit), lambda codes: _tested(codes, letters))
+    return _bound(_codes(hit), lambda codes: _tested(codes, letters, _kinds_tested(hit, encoding)))
+
+
+def text_share(counts, encoding):
+    """Upper 95% bound of the share of text among tokens, from the counts of their letters."""
+    n, k = sum(counts), _even_letters(encoding)
+    if not n:
+        return 1.0
+    distance = k * sum((c / n) ** 2 for c in counts) - 1 - (k - 1) / n
+    return min(1.0, math.sqrt(max(0.0, distance + 1.645 * math.sqrt(2 * (k - 1)) / n) / TEXT_DISTANCE[encoding]))
 
 
 def accepted(docs, false_share=FALSE_SHARE):
     """{(encoding, length class): least p of a token taken for random}, from the whole corpus."""
-    tokens = docs.select(F.explode(_tokens(F.coalesce("text", F.lit("")))).alias("t"))
-    tokens = tokens.select("t.enc", "t.len", _p(F.col("t.hit"), F.col("t.enc")).alias("p"))
+    tokens = docs.select(F.explode(_tokens(F.coalesce("text", F.lit("")))).alias("t")).select("t.enc", "t.len", "t.hit").distinct()
+    passed = tokens.withColumn("p", _p(F.col("hit"), F.col("enc"))).where(F.col("p") >= GRID[0])
+    letters = passed.select("enc", "len", "p", F.explode(F.slice(_codes(F.col("hit")), PREFIX + 1, F.length("hit"))).alias("code"))
     above = [F.count_if(F.col("p") >= g).alias(f"g{i}") for i, g in enumerate(GRID)]
-    # A row for each encoding and power of the root of two: a few hundred at most.
-    classes = tokens.groupBy("enc", "len").agg(F.count_if(F.col("p") > 0.5).alias("half"), *above).collect()
+    # A row for each letter of an encoding and power of the root of two: a few thousand at most.
+    classes = {}
+    for row in letters.where("code < 62").groupBy("enc", "len", "code").agg(*above).collect():
+        classes.setdefault((row["enc"], row["len"]), []).append(row)
     out = {}
-    for row in classes:
+    for (enc, size), rows in classes.items():
         for i, limit in enumerate(GRID):
-            taken, random = row[f"g{i}"], 2 * row["half"] * (1 - limit)
-            if taken and 1 - min(1, random / taken) <= false_share:
-                out[row["enc"], row["len"]] = limit
+            if text_share([row[f"g{i}"] for row in rows], enc) <= false_share:
+                out[enc, size] = limit
                 break
     return out
 

@@ -212,6 +212,29 @@ def test_random_tokens_are_told_from_text(spark):
     assert not [i for i in found if i >= 300]
 
 
+def test_identifiers_and_paths_are_no_secrets(spark):
+    rng = np.random.default_rng(4)
+    words = "the quick brown fox jumps over lazy dog user name get set value handler config main test index parse read".split()
+
+    def named(k):
+        some = rng.choice(words, 12)
+        camel, path = "".join(w.capitalize() for w in some), "/".join(some)
+        return (camel, path, path.replace("/", "_"), camel[:-2] + str(k))[k % 4][:20 + k % 12]
+
+    texts = [named(k) for k in range(600)] + ["TheQuickBrownFoxJumps"]
+    docs = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(texts)], "doc_id bigint, text string")
+    assert secret_scan.accepted(docs) == {}
+    assert secret_scan.secrets(docs).where("spans <> ''").count() == 0
+    assert secret_scan.redacted(docs).join(docs, ["doc_id", "text"], "left_anti").count() == 0
+    # Random tokens of the same lengths are told from them.
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    random = ["".join(rng.choice(letters, 22)) for _ in range(800)]
+    both = docs.unionByName(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(random)], docs.schema))
+    found = [r[0] for r in secret_scan.secrets(both).where("spans LIKE '%random%'").select("doc_id").collect()]
+    assert sum(i >= 1000 for i in found) > 0.8 * len(random)
+    assert sum(i < 1000 for i in found) <= 0.05 * len(found)
+
+
 def test_private_data(spark):
     table = [
         (1, "é mail a.b@c-d.example.org, ip 10.0.0.1 and 300.1.1.1"), (2, "card 4111 1111 1111 1111, 4111111111111112"),
