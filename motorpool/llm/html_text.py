@@ -24,7 +24,7 @@ import pyarrow as pa
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|select|textarea|button|iframe|object|title|head(?!er))\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
-    re.S)
+    re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _LABEL = re.compile(r'\by="([01])"')
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")

@@ -339,6 +339,17 @@ def test_main_text(spark):
                           (None, "v", "plain < text", 12), (4, "w", "cut off", 7)], key=repr)
 
 
+def test_markup_in_capitals_is_the_same():
+    page = (
+        "<HTML><HEAD><TITLE>T</TITLE><Style>p{}</Style></HEAD><BODY><NAV><UL><LI><A HREF=x>Menu</A></LI></UL></NAV>"
+        "<ARTICLE><H1>Head</H1><P>Some text of the page, and more.<SCRIPT>var a = 'no';</script> It goes on.</P>"
+        "<STYLE>.x { color: red }</STYLE><P>Second paragraph, with some text.<NoScript>no</NOSCRIPT></P></ARTICLE></BODY></HTML>")
+    text = "Head\nSome text of the page, and more. It goes on.\nSecond paragraph, with some text."
+    model = html_text.trained()
+    assert html_text.main_text(model, page) == text == html_text.main_text(model, page.lower()).replace("some", "Some", 1).replace(
+        "head", "Head").replace("it goes", "It goes").replace("second", "Second")
+
+
 def test_labelled_pages_are_learned():
     model, right, total = html_text.trained(), 0, 0
     from motorpool.llm.labelled_pages import LABELLED
