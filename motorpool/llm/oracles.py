@@ -1,4 +1,56 @@
 """DuckDB SQL with the results of the queries that SQL can express."""
 
+_FILTER_AUDIT = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), firsts AS (
+    SELECT t, min(doc_id) AS least FROM texts GROUP BY t
+), marks AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id
+), told AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN coalesce(doc_id > least, false) THEN 'E' ELSE '' END AS failed
+    FROM texts JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+), cells AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM told GROUP BY ALL
+), letters(l) AS (
+    VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a
+    JOIN letters b ON b.l <> a.l
+    JOIN letters c ON c.l NOT IN (a.l, b.l)
+    JOIN letters d ON d.l NOT IN (a.l, b.l, c.l)
+    JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter,
+        string_split(filter_order[1:step - 1], '') AS earlier
+    FROM orders, range(1, 6) r(step)
+), judged AS (
+    SELECT part, filter_order, step, letter, n, good, toxic, failed = letter AS alone,
+        contains(failed, letter) AS fails, list_has_any(string_split(failed, ''), earlier) AND step > 1 AND failed <> '' AS gone
+    FROM cells, steps
+), summed AS (
+    SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM summed
+"""
 
-ORACLES = {}
+ORACLES = {"op13_filter_audit": _FILTER_AUDIT}

@@ -1,9 +1,7 @@
 """The operators over their whole tables, with production parameters."""
 
-import corpus_pipeline
-
 from . import (
-    block_dedup, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
+    block_dedup, decontamination, filter_audit, html_text, language, near_dedup, nearest, packing, private_data,
     secret_scan, suffix_dedup,
 )
 from .shared import read
@@ -50,7 +48,13 @@ def op10_language(spark, sf_dir):
     return language.languages(read(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
     return corpus_pipeline.run(spark, sf_dir)
 
 
