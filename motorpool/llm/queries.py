@@ -1,8 +1,12 @@
 """The operators over their whole tables, with production parameters."""
 
+import zlib
+
+import numpy as np
+
 from . import (
-    block_dedup, decontamination, filter_audit, html_text, language, near_dedup, nearest, packing, private_data,
-    secret_scan, suffix_dedup,
+    block_dedup, decontamination, filter_audit, html_text, language, near_dedup, nearest, packing, periodic_runs,
+    private_data, secret_scan, suffix_dedup,
 )
 from .shared import read
 
@@ -48,6 +52,23 @@ def op10_language(spark, sf_dir):
     return language.languages(read(spark, sf_dir, "documents"))
 
 
+def _repeated_tail(doc_id, n):
+    """The words that one document in ten is judged by: from some word on, a part of them over and over."""
+    if doc_id is None:
+        return None
+    number, kind = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if kind:
+        return None
+    start = number % n
+    period = 1 + (n - start) // (3 + number % 8)
+    places = np.arange(n)
+    return np.where(places < start, places, start + (places - start) % period)
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.digests(periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), _repeated_tail))
+
+
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
