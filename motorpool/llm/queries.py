@@ -6,7 +6,7 @@ import numpy as np
 
 from . import (
     block_dedup, decontamination, filter_audit, html_text, language, near_dedup, nearest, packing, periodic_runs,
-    private_data, secret_scan, suffix_dedup,
+    ppm, private_data, secret_scan, suffix_dedup,
 )
 from .shared import read
 
@@ -52,6 +52,10 @@ def op10_language(spark, sf_dir):
     return language.languages(read(spark, sf_dir, "documents"))
 
 
+def op11_ppm_score(spark, sf_dir):
+    return ppm.scored(read(spark, sf_dir, "documents"), ~ppm.held_out(7, 2))
+
+
 def _repeated_tail(doc_id, n):
     """The words that one document in ten is judged by: from some word on, a part of them over and over."""
     if doc_id is None:
