@@ -196,7 +196,10 @@ JOIN locations lp ON t.pickup_location = lp.location_id
 JOIN locations ld ON t.dropoff_location = ld.location_id
 """
 
-MONEY = "CAST(total_amount AS DECIMAL(24, 6))"
+# The exact sum of doubles: amounts in units of 2**-60 are whole, and the sum is rounded once.
+UNITS = "sum(CAST(total_amount * 1152921504606846976 AS HUGEINT))"
+MONEY = f"""((CAST({UNITS} // 281474976710656 AS DOUBLE) * 281474976710656
+        + CAST({UNITS} % 281474976710656 AS DOUBLE)) / 1152921504606846976)"""
 
 CTES = {
     "raw_locations": RAW_LOCATIONS,
@@ -250,8 +253,7 @@ VEHICLE_FAVOURITES = favourites("vehicle_id", {
 
 
 def measures(total, average, highest, lowest):
-    return f"""CAST(sum({MONEY}) AS DOUBLE) AS {total},
-       CAST(sum({MONEY}) AS DOUBLE) / count(total_amount) AS {average},
+    return f"""{MONEY} AS {total}, {MONEY} / count(total_amount) AS {average},
        max(total_amount) AS {highest}, min(total_amount) AS {lowest}"""
 
 
