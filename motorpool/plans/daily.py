@@ -84,14 +84,7 @@ def _list_left_out(left_out, fresh, out):
     missing when it was last tried.
     """
     out = out.withColumn("missing_references", F.array_join("missing_references", ","))
-    if not left_out.exists():
-        return left_out.commit(out)
-    ids = fresh.select("rental_id")
-    again = left_out.read().join(ids, "rental_id", "left_semi")
-    touched = left_out.parts_of(fresh) | left_out.parts_of(again)
-    if touched:
-        kept = left_out.read(sorted(touched)).join(ids, "rental_id", "left_anti")
-        left_out.commit(kept.unionByName(out), touched)
+    left_out.replace(left_out.staged(out, "out"), fresh, ["rental_id"])
 
 
 def build_marts(warehouse, fact, users, vehicles, locations):

@@ -13,7 +13,7 @@ from motorpool.sources import (
     read_csv, recreate_table, write_csv,
 )
 
-from .conftest import rows_of
+from .conftest import executed_plan, rows_of
 
 T = dt.datetime
 
@@ -125,6 +125,69 @@ def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert state.read([]).schema == state.read().schema
 
 
+def numbered(spark, numbers, day):
+    return rentals(spark, [rental(f"r{i}", T(2025, 1 + i % 9, day)) for i in numbers])
+
+
+def test_a_merge_reads_only_the_key_buckets_that_its_batch_hits(spark, tmp_path):
+    state = months(spark, tmp_path)
+    state.merge(numbered(spark, range(300), 1), ["rental_id"])
+    state = months(spark, tmp_path)
+    assert state.keys_from == 0
+    batch = numbered(spark, [7, 1000], 2)
+    found = state.index.hit(batch, ["rental_id"], state.keys_from, state.generation)
+    buckets = {r["b"] for r in batch.select(F.pmod(F.xxhash64("rental_id"), F.lit(64)).alias("b")).collect()}
+    (scan,) = [line for line in executed_plan(found).splitlines() if "FileScan" in line]
+    assert "hash" in scan and "rental_id" not in scan  # the state itself is not read
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "bucket" in filters and all(str(b) in filters for b in buckets)
+    assert state._holding(batch, ["rental_id"]) == {"2025-08"}
+    # Read are one file of entries for each bucket that is hit and was written.
+    there = state.index._entries(0, 0).where(F.col("bucket").isin(list(buckets)))
+    assert there.select("bucket").distinct().count() <= 2
+
+
+def test_the_key_index_follows_moved_rows_and_is_folded(spark, tmp_path):
+    state = months(spark, tmp_path)
+    state.index.folded = 3
+    state.merge(numbered(spark, range(20), 1), ["rental_id"])
+    for month in range(2, 9):  # r3 moves on, one new rental each time
+        state = months(spark, tmp_path)
+        state.index.folded = 3
+        state.merge(rentals(spark, [rental("r3", T(2025, month, 9)), rental(f"n{month}", T(2025, month, 9))]), ["rental_id"])
+        assert state._holding(numbered(spark, [3], 1), ["rental_id"]) == {f"2025-{month:02}"}
+        assert state.generation - state.keys_from <= 3
+    state = months(spark, tmp_path)
+    assert state.keys_from > 0
+    assert state.read().count() == state.read().select("rental_id").distinct().count() == 27
+    ids = numbered(spark, range(20), 1)
+    by_scan = state.parts_of(state.read().join(ids.select("rental_id"), "rental_id", "left_semi"))
+    assert state._holding(ids, ["rental_id"]) == by_scan
+
+
+def test_a_table_without_key_index_is_scanned_once_and_then_has_one(spark, tmp_path):
+    state = months(spark, tmp_path)
+    state.commit(numbered(spark, range(9), 1))
+    assert months(spark, tmp_path).keys_from is None
+    state = months(spark, tmp_path)
+    state.merge(rentals(spark, [rental("r2", T(2025, 9, 9))]), ["rental_id"])
+    state = months(spark, tmp_path)
+    assert state.keys_from == 1
+    assert state._holding(numbered(spark, [2, 4], 1), ["rental_id"]) == {"2025-05", "2025-09"}
+    # A run that died left entries of a generation that no list names: they do not count.
+    state.index.add(rentals(spark, [rental("r4", T(2025, 1, 9))]), ["rental_id"], state.part, 1, 2)
+    assert months(spark, tmp_path)._holding(numbered(spark, [4], 1), ["rental_id"]) == {"2025-05"}
+
+
+def test_replace_takes_out_keys_that_do_not_come_back(spark, tmp_path):
+    state = months(spark, tmp_path)
+    state.merge(numbered(spark, range(9), 1), ["rental_id"])
+    gone = state.staged(numbered(spark, [1, 2, 77], 5))
+    state.replace(state.staged(numbered(spark, [2], 5), "rows"), gone, ["rental_id"])
+    kept = rows_of(months(spark, tmp_path).read().select("rental_id", "rental_end_time"))
+    assert kept == sorted([(f"r{i}", T(2025, 1 + i, 5 if i == 2 else 1)) for i in range(9) if i != 1], key=repr)
+
+
 def test_a_run_that_dies_before_the_list_leaves_the_old_table(spark, tmp_path):
     state = months(spark, tmp_path)
     state.merge(rentals(spark, [rental("a", T(2025, 1, 5))]), ["rental_id"])
