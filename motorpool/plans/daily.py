@@ -1,7 +1,6 @@
 """The daily run: extract a window, update history and fact, rebuild the marts."""
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -12,15 +11,8 @@ from ..operators.extract import WINDOW_COLUMNS
 from ..schemas import USER_CHECK_COLUMNS, VEHICLE_CHECK_COLUMNS
 from ..sources import land_extract, load_raw
 from ..sources.warehouse import OPEN, UNDATED
-from . import marts, staging, star
-
-
-def together(steps):
-    """Results by name of independent steps, whose jobs share the cluster: one step
-    fills the executors that the last tasks of another leave idle."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        running = {name: pool.submit(step) for name, step in steps.items()}
-        return {name: future.result() for name, future in running.items()}
+from . import rollups, staging, star
+from .rollups import together
 
 
 def extract_window(warehouse, sources, start, today):
@@ -88,19 +80,23 @@ def _list_left_out(left_out, fresh, out):
 
 
 def build_marts(warehouse, fact, users, vehicles, locations):
-    """The wide view and the four marts, each rebuilt from the whole fact."""
-    wide = star.denormalized_transactions(fact, users, vehicles, locations)
+    """The wide view and the four marts, brought up to the fact by its touched periods."""
+    wide = star.denormalized_transactions(fact.read(), users, vehicles, locations)
     warehouse.materialize("denormalized_transactions", "view", wide)
+    rollups.refresh(warehouse, fact, locations)
     plans = {
-        "users_summary": marts.users_summary(fact, users, vehicles, locations),
-        "vehicles_summary": marts.vehicles_summary(fact, users, vehicles, locations),
-        "daily_performance": marts.daily_performance(fact, locations),
-        "daily_top_entities": marts.daily_top_entities(fact, users, vehicles, locations),
+        "users_summary": rollups.users_summary(warehouse, users, vehicles),
+        "vehicles_summary": rollups.vehicles_summary(warehouse, users, vehicles),
     }
     written = together({
         name: partial(warehouse.materialize, name, "table", rows) for name, rows in plans.items()
     })
-    return {"denormalized_transactions": wide, **written}
+    tops = rollups.daily_top_entities(warehouse, users, vehicles)
+    return {
+        "denormalized_transactions": wide, **written,
+        "daily_performance": warehouse.daily("daily_performance").read(),
+        "daily_top_entities": warehouse.materialize("daily_top_entities", "view", tops),
+    }
 
 
 def run_day(warehouse, sources, now_utc, as_of=None):
@@ -147,8 +143,9 @@ def run_day(warehouse, sources, now_utc, as_of=None):
     done = together({f.__name__: f for f in [place, know_users, know_vehicles, take_rentals]})
     tables = {name: rows for part in done.values() for name, rows in part.items()}
     dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
-    tables["fact_transactions"] = extend_fact(warehouse, *dimensions).read()
+    fact = extend_fact(warehouse, *dimensions)
+    tables["fact_transactions"] = fact.read()
     tables["left_out_transactions"] = warehouse.rentals("left_out_transactions").read()
-    tables |= build_marts(warehouse, tables["fact_transactions"], *dimensions)
+    tables |= build_marts(warehouse, fact, *dimensions)
     start_date.set(today, now_utc)
     return tables

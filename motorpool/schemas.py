@@ -85,6 +85,8 @@ LAYERS = {
     "vehicles_summary": "reporting_dataset",
     "daily_performance": "reporting_dataset",
     "daily_top_entities": "reporting_dataset",
+    "daily_top_users": "reporting_dataset",
+    "daily_top_vehicles": "reporting_dataset",
 }
 
 # The columns whose change opens a new version. creation_date of a
