@@ -477,6 +477,24 @@ SELECT *, valid_from AS scd_updated_at,
 FROM ({USER_VERSIONS})
 """
 
+
+
+def three_days_of_marts():
+    """The star after the windows, under the names that the marts' SQL reads."""
+    parts, versions = {**three_days(), **DAYS_OF_USERS}, []
+    for d, low, high in RUNS:
+        parts[f"vehicles_in{d}"] = "SELECT * FROM raw_vehicles WHERE " + VEHICLES_IN.format(low, high)
+        parts[f"vehicles_of{d}"] = clean_vehicles(casted_vehicles(f"vehicles_in{d}"))
+        versions.append(f"SELECT *, TIMESTAMP '{high} 00:00:00' AS valid_from FROM vehicles_of{d}")
+    newest = "SELECT * FROM ({0}) QUALIFY row_number() OVER (PARTITION BY {1} ORDER BY valid_from DESC) = 1"
+    parts["known_users"] = newest.format(USER_VERSIONS, "user_id")
+    parts["known_vehicles"] = newest.format(" UNION ALL ".join(versions), "vehicle_id")
+    parts["users"] = dim_users("known_users")
+    parts["vehicles"] = (
+        "SELECT * EXCLUDE (valid_from) FROM (" + dim_vehicles("known_vehicles") + ")")
+    return {**parts, "fact": "SELECT * FROM f3", "wide": WIDE}
+
+
 QUARANTINE = """
 SELECT * FROM (
   SELECT t.*, concat_ws(',',
@@ -616,3 +634,12 @@ AND user_id NOT IN (SELECT user_id FROM raw_users
         three_days_left_out()),
     "daily_user_history": query(RAW_USERS, USER_VERSIONS, DAYS_OF_USERS),
 }
+ORACLES |= {
+    f"run_day_{name}": query(
+        LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], body, three_days_of_marts())
+    for name, body in {
+        "dim_users": "SELECT * FROM users", "dim_vehicles": "SELECT * FROM vehicles",
+        "users_summary": USERS_SUMMARY, "vehicles_summary": VEHICLES_SUMMARY,
+        "daily_performance": DAILY_PERFORMANCE, "daily_top_entities": TOP_ENTITIES,
+    }.items()
+}
