@@ -327,7 +327,7 @@ _RUNS = {}
 
 
 def _warehouse(spark):
-    return Warehouse(spark, shared_dir(spark, "warehouse"), period="yyyy-MM")
+    return Warehouse(spark, shared_dir(spark, "warehouse"), period="yyyy-MM", key_buckets=8)
 
 
 def _daily_runs(spark, sf_dir):

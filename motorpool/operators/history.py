@@ -4,6 +4,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 HISTORY_COLUMNS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
+# A day of one key with more changes is cut, into so many pieces at most.
+MOST = 100_000
+PIECES = 200
 
 
 def _ntz(value):
@@ -70,49 +73,69 @@ def current_versions(history):
     return history.where(F.col("valid_to").isNull())
 
 
-def _met(rows, summary, keys):
-    """Inner join in which NULL keys are equal."""
+def _met(rows, summary, keys, how="inner"):
+    """Join in which NULL keys are equal."""
     there = summary.withColumnsRenamed({k: f"_at_{k}" for k in keys})
     meet = F.lit(True)
     for k in keys:
         meet = meet & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    return rows.join(there, meet).drop(*[f"_at_{k}" for k in keys])
+    return rows.join(there, meet, how).drop(*[f"_at_{k}" for k in keys])
 
 
-def history_from_changes(changes, key, order, check_columns, bucket=None):
+def _cut(rows, key, time, most):
+    """rows with ``_piece``: 0, or the place among the cuts of a (key, bucket) of more than ``most`` rows.
+
+    Cuts are approximate quantiles of the time, PIECES at most. Equal times share a piece, so a piece is a
+    span of time within its bucket. Which cuts are found only steers how the work is spread.
+    """
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    rows = rows.withColumn("_at", F.timestamp_diff("MICROSECOND", epoch, F.col(time).cast("timestamp_ntz")))
+    sizes = rows.groupBy(key, "_bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > most).drop("_n")
+    shares = [i / PIECES for i in range(1, PIECES)]
+    cuts = _met(rows.select(key, "_bucket", "_at"), sizes, [key, "_bucket"]).groupBy(key, "_bucket").agg(
+        F.array_distinct(F.percentile_approx("_at", shares, 100 * PIECES)).alias("_cuts"))
+    # Left to the planner: nearly always a handful of rows, at most one for each ``most`` changes.
+    dealt = _met(rows, cuts, [key, "_bucket"], "left")
+    passed = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<bigint>")), lambda c: c <= F.col("_at")))
+    return dealt.withColumn("_piece", passed).drop("_at", "_cuts")
+
+
+def history_from_changes(changes, key, order, check_columns, bucket=None, most=MOST):
     """Whole history at once from a change log ordered by ``order`` within a key.
 
     Runs of equal watched values make one version, valid from its first change until
-    the next version begins. ``order[0]`` is the change time; ``order`` is unique per key.
+    the next version begins. ``order[0]`` is the change time, a date or datetime; ``order`` is unique per key.
     Changes without a key are those of one unknown key; changes without a time come
     first, with an unknown beginning.
 
     A key may hold a large part of the log, so no window spans a key: rows are compared
-    within (key, bucket), by default the calendar day, and the neighbouring value across
-    a bucket border comes from one summary row per bucket.
+    within (key, bucket), by default the calendar day, and a bucket of more than ``most`` rows is
+    cut into pieces of time. The neighbouring value across a border comes from one summary
+    row per piece. Only changes of one key at one instant stay together.
     """
     time = order[0]
-    rows = changes.select(
+    rows = _cut(changes.select(
         key, *order, *check_columns,
         F.struct(*check_columns).alias("_state"),
         (F.col(time).cast("date") if bucket is None else bucket).alias("_bucket"),
-    )
-    piece = Window.partitionBy(key, "_bucket").orderBy(*order)
-    buckets = Window.partitionBy(key).orderBy("_bucket")
+    ), key, time, most)
+    at = [key, "_bucket", "_piece"]
+    piece = Window.partitionBy(*at).orderBy(*order)
+    pieces = Window.partitionBy(key).orderBy("_bucket", "_piece")
 
-    ends = rows.groupBy(key, "_bucket").agg(F.max_by("_state", F.struct(*order)).alias("_end"))
-    before = ends.select(key, "_bucket", F.lag("_end").over(buckets).alias("_before"))
+    ends = rows.groupBy(*at).agg(F.max_by("_state", F.struct(*order)).alias("_end"))
+    before = ends.select(*at, F.lag("_end").over(pieces).alias("_before"))
     previous = F.coalesce(F.lag("_state").over(piece), F.col("_before"))
     starts = (
-        _met(rows, before, [key, "_bucket"])
+        _met(rows, before, at)
         .withColumn("_previous", previous)
         .where(F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(F.col("_state")))
         .drop("_previous", "_before", "_state")
     )
 
-    heads = starts.groupBy(key, "_bucket").agg(F.min(time).alias("_head"))
-    after = heads.select(key, "_bucket", F.lead("_head").over(buckets).alias("_after"))
+    heads = starts.groupBy(*at).agg(F.min(time).alias("_head"))
+    after = heads.select(*at, F.lead("_head").over(pieces).alias("_after"))
     until = F.coalesce(F.lead(time).over(piece), F.col("_after"))
-    return _met(starts, after, [key, "_bucket"]).select(
+    return _met(starts, after, at).select(
         key, *check_columns, F.col(time).alias("valid_from"), until.alias("valid_to")
     )

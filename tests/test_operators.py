@@ -305,6 +305,26 @@ def test_mode_by_breaks_ties_in_the_order_of_the_type(spark):
         [("a", 9, "x"), ("b", 100, "z"), ("c", None, None)], key=repr)
 
 
+def test_a_hot_day_of_one_key_is_cut_into_pieces(spark):
+    from motorpool.operators.history import _cut
+
+    # One key with 6,000 changes on one day, most at the same minute; others with a few each.
+    start = dt.datetime(2024, 1, 1)
+    log = [("hot", start + dt.timedelta(seconds=i * 7 if i < 3000 else 20_000 + i), i, i // 5 % 3) for i in range(6000)]
+    log += [(f"k{i % 7}", start + dt.timedelta(hours=i), i, i % 2) for i in range(60)]
+    log += [("hot", start + dt.timedelta(days=1, seconds=i), 9000 + i, 1) for i in range(5)]
+    changes = spark.createDataFrame(log, "k string, at timestamp_ntz, id bigint, v bigint").repartition(4)
+    whole = history_from_changes(changes, "k", ["at", "id"], ["v"], most=10**9)
+    cut = history_from_changes(changes, "k", ["at", "id"], ["v"], most=50)
+    assert rows_of(cut) == rows_of(whole)
+    assert len(rows_of(cut)) > 1200
+    dealt = _cut(changes.withColumn("_bucket", F.col("at").cast("date")), "k", "at", 50)
+    sizes = {tuple(r)[:3]: r["count"] for r in dealt.groupBy("k", "_bucket", "_piece").count().collect()}
+    hot = [n for (k, day, _), n in sizes.items() if k == "hot" and day == start.date()]
+    assert sum(hot) == 6000 and len(hot) > 150 and max(hot) < 100
+    assert {piece for (k, _, piece) in sizes if k != "hot"} == {0}
+
+
 def test_history_from_changes_keeps_unknown_keys_and_times(spark):
     first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     log = spark.createDataFrame(

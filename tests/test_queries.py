@@ -6,7 +6,6 @@ from checks.oracle import ORACLES
 from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"run_day_fact", "run_day_quarantine"}  # run by checks.compare
 
 
 def test_every_query_has_its_sql():
@@ -20,7 +19,7 @@ def database():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, database, name):
     assert differences(spark, database, name, SF_DIR) == []
 
