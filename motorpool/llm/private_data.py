@@ -20,7 +20,9 @@ from .words import ASCII_LOWER, joined, prefix_sums, slice_hashes, text_list, wo
 
 #: Fixed patterns by kind, in the order of the listing; failing matches are dropped, not retried.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+EMAIL_RUN = re.compile(r"(?<![A-Za-z0-9._%+-])" + EMAIL.pattern)
+#: A run of digits that gives no match from its start gives none from within, so only starts are tried.
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _BLOCK_BYTES = 1_000_000
@@ -40,15 +42,24 @@ def _digits(found):
     return [c for c in found if "0" <= c <= "9"]
 
 
+def _emails(text):
+    """Leftmost non-overlapping matches of EMAIL in linear time: a run of its letters is tried from its
+    start, or from where the last match in it ended, and never again from within."""
+    end = 0
+    while found := EMAIL.match(text, end) or EMAIL_RUN.search(text, end):
+        yield found
+        end = found.end()
+
+
 def base_spans(text):
     """(kind, start, end) by kind as listed, then start."""
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [("email", m.start(), m.end()) for m in _emails(text)]
     if "." in text:
         out += [
             ("ip", m.start(), m.end()) for m in IP.finditer(text)
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in m[0].split(".")))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(digits := _digits(m[0])) <= 19 and _luhn(digits):
             out.append(("card", m.start(), m.end()))
