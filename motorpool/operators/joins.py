@@ -106,8 +106,9 @@ def integrity_valid(rows, references, spread_by):
     return rows
 
 
-def integrity_quarantine(rows, references, spread_by):
-    """The complement, with the names of the dangling columns."""
+def integrity_tagged(rows, references, spread_by):
+    """All rows, with the names of the columns that point nowhere: one chain of joins tells the valid
+    rows from the others."""
     first, columns = rows, rows.columns
     missing = []
     for column, table, table_key in references:
@@ -116,9 +117,12 @@ def integrity_quarantine(rows, references, spread_by):
         rows = lookup_join(rows, known, column, spread_by, "left", first)
         missing.append(F.when(F.col(flag).isNull(), F.lit(column)))
     dangling = F.array_compact(F.array(*missing))
-    return rows.select(*columns, dangling.alias("missing_references")).where(
-        F.size("missing_references") > 0
-    )
+    return rows.select(*columns, dangling.alias("missing_references"))
+
+
+def integrity_quarantine(rows, references, spread_by):
+    """The rows that are not valid, with the names of the dangling columns."""
+    return integrity_tagged(rows, references, spread_by).where(F.size("missing_references") > 0)
 
 
 def new_keys(candidates, existing, key):

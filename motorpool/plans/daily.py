@@ -55,30 +55,24 @@ def absorb_rentals(warehouse, raw):
 def extend_fact(warehouse, users, vehicles, locations):
     """Merge the clean rentals above the fact's own mark into the fact.
 
-    Those that stay out are listed first, in ``left_out_transactions``, with the
-    references they miss: a run that dies in between lists the same again.
+    Each fresh rental is judged once; the result is stored by outcome, and both tables read it. Those
+    that stay out are listed first, in ``left_out_transactions``, with the references they miss, in
+    place of what was listed for any fresh rental: a run that dies in between lists the same
+    again. What is listed below the fact's mark stays for good, with the references
+    that were missing when it was last tried.
     """
     clean, fact = warehouse.rentals("clean_transactions"), warehouse.rentals("fact_transactions")
     newest = _newest(fact)
     rentals = clean.read([p for p in clean.partitions() if newest is None or p >= newest])
     left_out = warehouse.rentals("left_out_transactions")
-    dimensions = users, vehicles, locations
-    fresh = left_out.staged(above_mark(rentals, _marked_by(fact), "rental_end_time"))
-    _list_left_out(left_out, fresh, star.fact_quarantine(fresh, *dimensions))
-    fact.merge(star.fact_transactions(fresh, *dimensions), ["rental_id"])
+    fresh = above_mark(rentals, _marked_by(fact), "rental_end_time")
+    judged = left_out.staged(star.judged_rentals(fresh, users, vehicles, locations), "judged", ["outcome"])
+    left_out.replace(judged.where("outcome = 'left_out'").drop("outcome"), judged, ["rental_id"])
+    valid = star.fact_columns(judged.where("outcome = 'fact'"))
+    fact.replace(valid, valid, ["rental_id"])
     return fact
 
 
-def _list_left_out(left_out, fresh, out):
-    """Put the fresh rentals left out in place of what was listed for any fresh one.
-
-    What is listed below the fact's mark stays for good, with the references that were
-    missing when it was last tried.
-    """
-    out = out.withColumn("missing_references", F.array_join("missing_references", ","))
-    left_out.replace(left_out.staged(out, "out"), fresh, ["rental_id"])
-
-
 def build_marts(warehouse, fact, users, vehicles, locations):
     """The wide view and the four marts, brought up to the fact by its touched periods."""
     wide = star.denormalized_transactions(fact.read(), users, vehicles, locations)

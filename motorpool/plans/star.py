@@ -7,7 +7,8 @@ from ..functions import (
     join_non_null, years_between,
 )
 from ..operators import (
-    above_mark, current_versions, integrity_quarantine, integrity_valid, lookup_join,
+    above_mark, current_versions, integrity_quarantine, integrity_tagged, integrity_valid,
+    lookup_join,
 )
 
 
@@ -55,7 +56,10 @@ def references(users, vehicles, locations):
 def fact_transactions(rentals, users, vehicles, locations, state=None):
     """The batch of rentals to merge into the fact: above its mark, references intact."""
     fresh = above_mark(rentals, state, "rental_end_time")
-    valid = integrity_valid(fresh, references(users, vehicles, locations), ["rental_id"])
+    return fact_columns(integrity_valid(fresh, references(users, vehicles, locations), ["rental_id"]))
+
+
+def fact_columns(valid):
     return valid.select(
         "rental_id", "user_id", "vehicle_id", "rental_start_time", "rental_end_time",
         days_between(F.col("rental_end_time"), F.col("rental_start_time"))
@@ -69,6 +73,14 @@ def fact_quarantine(rentals, users, vehicles, locations):
     return integrity_quarantine(rentals, references(users, vehicles, locations), ["rental_id"])
 
 
+def judged_rentals(rentals, users, vehicles, locations):
+    """All rentals with the references they miss, comma-joined, and their ``outcome``: fact or left_out."""
+    tagged = integrity_tagged(rentals, references(users, vehicles, locations), ["rental_id"])
+    outcome = F.when(F.size("missing_references") == 0, "fact").otherwise("left_out")
+    return tagged.select(
+        *rentals.columns, F.array_join("missing_references", ",").alias("missing_references"), outcome.alias("outcome"))
+
+
 LOCATION_COLUMNS = ["location_name", "address", "city", "state", "zip_code", "latitude", "longitude"]
 
 

@@ -86,6 +86,21 @@ def test_one_day(spark, tmp_path):
     assert warehouse.start_date().get() == D(2025, 7, 3)
 
 
+def test_fresh_rentals_are_judged_by_one_chain_of_joins(spark, tmp_path, monkeypatch):
+    warehouse, calls = opened(spark, tmp_path), []
+    judge = star.judged_rentals
+    monkeypatch.setattr(star, "judged_rentals", lambda *a: calls.append(judge(*a)) or calls[-1])
+    tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
+    assert len(calls) == 1
+    plan = executed_plan(calls[0])
+    assert plan.count("BroadcastHashJoin") == 4  # one for each reference
+    stored = spark.read.parquet(f"{warehouse.path('left_out_transactions')}/judged")
+    assert rows_of(stored.select("rental_id", "outcome")) == [
+        ("r1", "fact"), ("r2", "fact"), ("r3", "left_out"), ("r4", "left_out")]
+    assert rows_of(tables["left_out_transactions"].select("rental_id", "missing_references")) == [
+        ("r3", "dropoff_location"), ("r4", "user_id")]
+
+
 def test_days_accumulate_and_repeats_change_nothing(spark, tmp_path):
     warehouse, first = opened(spark, tmp_path), base(spark)
     run_day(warehouse, first, T(2025, 7, 2, 20))
