@@ -633,6 +633,10 @@ AND user_id NOT IN (SELECT user_id FROM raw_users
         LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], "SELECT * FROM l3",
         three_days_left_out()),
     "daily_user_history": query(RAW_USERS, USER_VERSIONS, DAYS_OF_USERS),
+    "rentals_as_of_user": query(RAW_USERS + ["raw_transactions", "rentals"], """
+SELECT r.rental_id, r.user_id, r.rental_end_time, v.is_active, v.update_at, v.valid_from, v.valid_to
+FROM rentals r ASOF LEFT JOIN versions v ON r.user_id = v.user_id AND r.rental_end_time >= v.valid_from""",
+        {**DAYS_OF_USERS, "versions": USER_VERSIONS}),
 }
 ORACLES |= {
     f"run_day_{name}": query(

@@ -8,7 +8,7 @@ from motorpool.functions import (
     business_date, is_weekend, nanos_to_datetime,
 )
 from motorpool.operators import (
-    column_summary, duplicate_count, history_from_changes,
+    as_of_join, column_summary, duplicate_count, history_from_changes,
     keyed_update, merge_upsert, new_keys, null_counts, peek, pending_counts,
     row_counts, scd2_step, value_counts, window_filter,
 )
@@ -391,6 +391,13 @@ def daily_user_history(spark, sf_dir):
     return history.read()
 
 
+def rentals_as_of_user(spark, sf_dir):
+    """Rentals with the version of their user that was valid when they ended."""
+    history = daily_user_history(spark, sf_dir)
+    rentals = _rentals(spark, sf_dir).select("rental_id", "user_id", "rental_end_time")
+    return as_of_join(rentals, history, "user_id", "rental_end_time", ["is_active", "update_at"])
+
+
 QUERIES = {
     f.__name__: f for f in [
         clean_users, casted_vehicles, clean_vehicles, clean_locations, location_enrichment,
@@ -406,7 +413,7 @@ QUERIES = {
         profile_value_counts, peek_latest_rentals, dangling_new_ids, csv_roundtrip,
         parquet_extract_roundtrip, run_day_fact, run_day_quarantine, daily_user_history,
         run_day_dim_users, run_day_dim_vehicles, run_day_users_summary, run_day_vehicles_summary,
-        run_day_daily_performance, run_day_daily_top_entities,
+        run_day_daily_performance, run_day_daily_top_entities, rentals_as_of_user,
     ]
 }
 QUERIES["clean_transactions_full"] = _rentals

@@ -1,3 +1,4 @@
+from .asof import as_of_join
 from .dedup import dedup_latest
 from .extract import pending_counts, window_filter
 from .frequency import mode_by, top_per_group
@@ -9,7 +10,7 @@ from .profile import (
 )
 
 __all__ = [
-    "above_mark", "column_summary", "current_versions", "dedup_latest", "duplicate_count",
+    "as_of_join", "above_mark", "column_summary", "current_versions", "dedup_latest", "duplicate_count",
     "history_from_changes", "integrity_quarantine", "integrity_tagged", "integrity_valid", "keyed_update",
     "lookup_join", "merge_upsert", "mode_by", "new_keys", "null_counts", "peek",
     "pending_counts", "row_counts", "scd2_step", "top_per_group", "value_counts",

@@ -305,6 +305,30 @@ def test_mode_by_breaks_ties_in_the_order_of_the_type(spark):
         [("a", 9, "x"), ("b", 100, "z"), ("c", None, None)], key=repr)
 
 
+def test_as_of_join_finds_the_version_valid_at_each_time(spark):
+    from motorpool.operators import as_of_join
+
+    t = lambda d, h=0: dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h)
+    versions = [("a", 1, t(0), t(3)), ("a", 2, t(3), t(5, 6)), ("a", 3, t(9), None), ("b", 4, t(2, 5), None),
+                (None, 5, t(0), None), ("c", 6, t(1), t(1)), ("c", 7, t(1), None), ("d", 8, None, None)]
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "a", "a", "b", "c", "d", "z", None]), t(rng.randrange(-2, 14), rng.randrange(24)), i)
+            for i in range(300)] + [("a", None, 900), ("a", t(3), 901), ("a", t(5, 6), 902), ("a", t(5, 5), 903)]
+
+    def valid(key, at):
+        fits = [v for v in versions if key is not None and v[0] == key and at is not None and v[2] is not None
+                and v[2] <= at and (v[3] is None or at < v[3])]
+        return fits[-1][1:] if fits else (None, None, None)
+
+    history = spark.createDataFrame(versions, "k string, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    asked = spark.createDataFrame(rows, "k string, at timestamp_ntz, id int").repartition(3)
+    expected = sorted(((k, at, i, *valid(k, at)) for k, at, i in rows), key=repr)
+    for bucket in ("day", "hour", "year"):
+        assert rows_of(as_of_join(asked, history, "k", "at", ["v"], bucket)) == expected
+    assert rows_of(as_of_join(asked, history.where("1 = 0"), "k", "at", ["v"])) == sorted(
+        ((*r, None, None, None) for r in rows), key=repr)
+
+
 def test_a_hot_day_of_one_key_is_cut_into_pieces(spark):
     from motorpool.operators.history import _cut
 
