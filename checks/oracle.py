@@ -479,6 +479,26 @@ FROM ({USER_VERSIONS})
 
 
 
+def accounting():
+    """Counts of each window's rows; none of them is late, since every window begins after the last mark."""
+    parts, counts = {**three_days_left_out(), **three_days_of_marts()}, []
+    undated = {"users": "update_at", "vehicles": "last_update_timestamp", "transactions": "rental_end_time"}
+    for d, _, high in RUNS:
+        windows = [
+            ("users", f"window{d}", "user_id", f"day{d}"), ("vehicles", f"vehicles_in{d}", "vehicle_id", f"vehicles_of{d}"),
+            ("transactions", f"w{d}", "rental_id", "c1" if d == 1 else f"b{d}")]
+        for source, window, key, taken in windows:
+            rows, keyed, kept = f"(SELECT count(*) FROM {window})", f"(SELECT count({key}) FROM {window})", f"(SELECT count(*) FROM {taken})"
+            found = {"landed": rows, "keyless": f"{rows} - {keyed}", "late": "0", "duplicate": f"{keyed} - {kept}", "taken": kept,
+                     "undated": f"(SELECT count(*) - count({undated[source]}) FROM raw_{source})"}
+            counts += [(high, source, o, n) for o, n in found.items()]
+        fresh, got = f"(SELECT count(*) FROM n{d})", f"(SELECT count(*) FROM {'f1' if d == 1 else f'g{d}'})"
+        counts += [(high, "clean_transactions", "fact", got), (high, "clean_transactions", "left_out", f"{fresh} - {got}")]
+    body = " UNION ALL ".join(
+        f"SELECT DATE '{h}' AS window_end, '{s}' AS source, '{o}' AS outcome, CAST({n} AS BIGINT) AS rows" for h, s, o, n in counts)
+    return query(LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], body, parts)
+
+
 def three_days_of_marts():
     """The star after the windows, under the names that the marts' SQL reads."""
     parts, versions = {**three_days(), **DAYS_OF_USERS}, []
@@ -638,6 +658,7 @@ SELECT r.rental_id, r.user_id, r.rental_end_time, v.is_active, v.update_at, v.va
 FROM rentals r ASOF LEFT JOIN versions v ON r.user_id = v.user_id AND r.rental_end_time >= v.valid_from""",
         {**DAYS_OF_USERS, "versions": USER_VERSIONS}),
 }
+ORACLES["run_day_accounting"] = accounting()
 ORACLES |= {
     f"run_day_{name}": query(
         LOCATION_PART + ["raw_users", "raw_vehicles", "raw_transactions"], body, three_days_of_marts())

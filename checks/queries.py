@@ -391,6 +391,12 @@ def daily_user_history(spark, sf_dir):
     return history.read()
 
 
+def run_day_accounting(spark, sf_dir):
+    """What became of the rows of each window, by source; the repeated day had an empty window."""
+    counts = _daily_runs(spark, sf_dir)["run_counts"].where("window_start < window_end")
+    return counts.select("window_end", "source", "outcome", "rows")
+
+
 def rentals_as_of_user(spark, sf_dir):
     """Rentals with the version of their user that was valid when they ended."""
     history = daily_user_history(spark, sf_dir)
@@ -413,7 +419,8 @@ QUERIES = {
         profile_value_counts, peek_latest_rentals, dangling_new_ids, csv_roundtrip,
         parquet_extract_roundtrip, run_day_fact, run_day_quarantine, daily_user_history,
         run_day_dim_users, run_day_dim_vehicles, run_day_users_summary, run_day_vehicles_summary,
-        run_day_daily_performance, run_day_daily_top_entities, rentals_as_of_user,
+        run_day_daily_performance, run_day_daily_top_entities, run_day_accounting,
+        rentals_as_of_user,
     ]
 }
 QUERIES["clean_transactions_full"] = _rentals

@@ -14,6 +14,18 @@ WINDOW_COLUMNS = {
 }
 
 
+def _dated(rows, column):
+    data_type = rows.schema[column].dataType
+    if isinstance(data_type, T.StringType):
+        return leading_date_or_null(F.col(column)), T.DateType()
+    return F.col(column), data_type
+
+
+def undated(rows, column):
+    """Rows that no window ever picks up."""
+    return rows.where(_dated(rows, column)[0].isNull())
+
+
 def window_filter(rows, column, start, end):
     """Rows dated in ``[start, end)``; rows without a date are left out.
 
@@ -21,10 +33,7 @@ def window_filter(rows, column, start, end):
     pushed filter. Text that starts with ``dd-MM-yyyy`` is parsed first; other
     text has no date.
     """
-    data_type = rows.schema[column].dataType
-    value = F.col(column)
-    if isinstance(data_type, T.StringType):
-        value, data_type = leading_date_or_null(value), T.DateType()
+    value, data_type = _dated(rows, column)
     low, high = (F.lit(str(d)).cast("date").cast(data_type) for d in (start, end))
     return rows.where((value >= low) & (value < high))
 

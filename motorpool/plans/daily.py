@@ -6,12 +6,12 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from ..functions import business_today
-from ..operators import above_mark, scd2_step, window_filter
+from ..operators import above_mark, scd2_step, undated, window_filter
 from ..operators.extract import WINDOW_COLUMNS
 from ..schemas import USER_CHECK_COLUMNS, VEHICLE_CHECK_COLUMNS
 from ..sources import land_extract, load_raw
 from ..sources.warehouse import OPEN, UNDATED
-from . import rollups, staging, star
+from . import accounting, rollups, staging, star
 from .rollups import together
 
 
@@ -103,7 +103,8 @@ def run_day(warehouse, sources, now_utc, as_of=None):
     today = business_today(now_utc)
     as_of = as_of or today
     start_date = warehouse.start_date()
-    raw = extract_window(warehouse, sources, start_date.get(), today)
+    start, counts = start_date.get(), {}
+    raw = extract_window(warehouse, sources, start, today)
 
     def place():
         seed = staging.location_enrichment(sources["locations"])
@@ -115,6 +116,8 @@ def run_day(warehouse, sources, now_utc, as_of=None):
         batch = staging.clean_users(raw["users"])
         history = snapshot(
             warehouse, "snapshot_users", batch, "user_id", USER_CHECK_COLUMNS, now_utc)
+        keyed = raw["users"].where("user_id IS NOT NULL")
+        counts["users"] = accounting.of_source(raw["users"], "user_id", keyed, history.last_staged())
         users = star.dim_users(history.read([OPEN]), as_of)
         return {
             "snapshot_users": history.read(),
@@ -125,6 +128,8 @@ def run_day(warehouse, sources, now_utc, as_of=None):
         batch = staging.clean_vehicles(staging.casted_vehicles(raw["vehicles"]))
         history = snapshot(
             warehouse, "snapshot_vehicles", batch, "vehicle_id", VEHICLE_CHECK_COLUMNS, now_utc)
+        keyed = raw["vehicles"].where("vehicle_id IS NOT NULL")
+        counts["vehicles"] = accounting.of_source(raw["vehicles"], "vehicle_id", keyed, history.last_staged())
         vehicles = star.dim_vehicles(history.read([OPEN]), as_of)
         return {
             "snapshot_vehicles": history.read(),
@@ -132,14 +137,31 @@ def run_day(warehouse, sources, now_utc, as_of=None):
         }
 
     def take_rentals():
-        return {"clean_transactions": absorb_rentals(warehouse, raw["transactions"]).read()}
-
-    done = together({f.__name__: f for f in [place, know_users, know_vehicles, take_rentals]})
+        keyed = staging.keyed_transactions(raw["transactions"])
+        # The mark is that of before the merge, whose folders stay where they are.
+        fresh = above_mark(keyed, _marked_by(warehouse.rentals("clean_transactions")), "rental_end_time")
+        clean = absorb_rentals(warehouse, raw["transactions"])
+        counts["transactions"] = accounting.of_source(
+            raw["transactions"], "rental_id", fresh, clean.last_staged())
+        return {"clean_transactions": clean.read()}
+
+    def count_undated():
+        return {table: undated(sources[table], column).count() for table, column in WINDOW_COLUMNS.items()}
+
+    steps = [place, know_users, know_vehicles, take_rentals, count_undated]
+    done = together({f.__name__: f for f in steps})
+    for table, n in done.pop("count_undated").items():
+        counts[table]["undated"] = n
     tables = {name: rows for part in done.values() for name, rows in part.items()}
     dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
     fact = extend_fact(warehouse, *dimensions)
+    judged = warehouse.rentals("left_out_transactions").last_staged("judged", "rental_id string, outcome string")
+    counts["clean_transactions"] = {"fact": 0, "left_out": 0, **dict(judged.groupBy("outcome").count().collect())}
     tables["fact_transactions"] = fact.read()
     tables["left_out_transactions"] = warehouse.rentals("left_out_transactions").read()
     tables |= build_marts(warehouse, fact, *dimensions)
+    run_counts = accounting.RunCounts(warehouse.spark, warehouse.counts_path())
+    run_counts.add(start, today, now_utc, counts)
+    tables["run_counts"] = run_counts.read()
     start_date.set(today, now_utc)
     return tables

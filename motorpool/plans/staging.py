@@ -62,17 +62,20 @@ def _datetime(rows, column):
     return F.col(column).cast("timestamp_ntz")
 
 
+def keyed_transactions(raw):
+    return raw.where(F.col("rental_id").isNotNull()).select(
+        "rental_id", "user_id", "vehicle_id",
+        _datetime(raw, "rental_start_time").alias("rental_start_time"),
+        _datetime(raw, "rental_end_time").alias("rental_end_time"),
+        "pickup_location", "dropoff_location", "total_amount",
+    )
+
+
 def clean_transactions(raw, state=None):
     """The batch of rentals to merge: above the mark of ``state``, one row per rental.
 
     The mark comes first, so duplicates are settled within the batch; the merge
     settles those across batches in favour of the later one.
     """
-    rentals = raw.where(F.col("rental_id").isNotNull()).select(
-        "rental_id", "user_id", "vehicle_id",
-        _datetime(raw, "rental_start_time").alias("rental_start_time"),
-        _datetime(raw, "rental_end_time").alias("rental_end_time"),
-        "pickup_location", "dropoff_location", "total_amount",
-    )
-    fresh = above_mark(rentals, state, "rental_end_time")
+    fresh = above_mark(keyed_transactions(raw), state, "rental_end_time")
     return dedup_latest(fresh, ["rental_id"], ["rental_end_time", "rental_start_time"])

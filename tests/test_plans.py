@@ -122,6 +122,15 @@ def test_days_accumulate_and_repeats_change_nothing(spark, tmp_path):
     # r4 ended above the fact's mark, so it is tried again now that its user is known.
     facts = rows_of(tables["fact_transactions"].select("rental_id", "total_amount"))
     assert facts == [("r1", 99.0), ("r2", 10.0), ("r4", 10.0), ("r5", 10.0)]
+    # Every landed row is accounted for; the first window holds the counts of the first run.
+    counted = {(r["window_end"], r["source"], r["outcome"]): r["rows"] for r in tables["run_counts"].collect()}
+    assert {k[0] for k in counted} == {D(2025, 7, 3), D(2025, 7, 4)}
+    for day in {k[0] for k in counted}:
+        for source in ("users", "vehicles", "transactions"):
+            own = {o: n for (d, s, o), n in counted.items() if (d, s) == (day, source)}
+            assert own["landed"] == own["keyless"] + own["late"] + own["duplicate"] + own["taken"] > 0
+    assert counted[D(2025, 7, 3), "transactions", "keyless"] == counted[D(2025, 7, 3), "transactions", "duplicate"] == 1
+    assert counted[D(2025, 7, 3), "clean_transactions", "left_out"] == 2
     # r3 ended below the mark r5 and r4 set: it is listed for good.
     clean, out = tables["clean_transactions"], tables["left_out_transactions"]
     assert rows_of(out.select("rental_id", "missing_references")) == [("r3", "dropoff_location")]
