@@ -53,4 +53,62 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM summed
 """
 
-ORACLES = {"op13_filter_audit": _FILTER_AUDIT}
+_BLOCK_DEDUP = r"""
+WITH texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, start, array_to_string(words[start:start + 12], ' ') AS passage
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS start FROM texts)
+), firsts AS (
+    SELECT passage, min(doc_id) AS least FROM windows GROUP BY passage
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start, start + 13)) AS place
+    FROM windows JOIN firsts USING (passage) WHERE doc_id > least
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+), left_over AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+    FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (doc_id)
+"""
+
+_DECONTAMINATION = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[start:start + size - 1], ' ') AS passage
+    FROM (SELECT item_id, words, least(len(words), 13) AS size, unnest(range(1, len(words) - least(len(words), 13) + 2)) AS start
+          FROM items WHERE len(words) > 0)
+), windows AS (
+    SELECT doc_id, size, start, array_to_string(words[start:start + size - 1], ' ') AS passage
+    FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS start
+          FROM texts JOIN (SELECT DISTINCT size FROM item_windows) ON len(words) >= size)
+), met AS (
+    SELECT doc_id, start, size, item_id FROM windows JOIN item_windows USING (size, passage)
+), hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(start, start + size)) AS place FROM met) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES = {
+    "op5_block_dedup": _BLOCK_DEDUP,
+    "op6_decontamination": _DECONTAMINATION,
+    "op13_filter_audit": _FILTER_AUDIT,
+}
