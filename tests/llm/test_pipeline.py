@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 def test_names_and_queries():
     assert [n for n, _ in corpus_pipeline.STAGES][1] == "near_duplicates"
     assert sorted(QUERIES) == sorted(["pipeline", *(n for n in QUERIES if n.startswith("op"))])
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_keep_columns_and_nulls(spark):
