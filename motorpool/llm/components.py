@@ -37,7 +37,8 @@ def _forest(batches):
 
 
 #: Edges of a task between two shuffles: rounds over few edges don't leave files of a few bytes each.
-_TASK_EDGES = 20_000
+#: So many edges (some 10 MB) are also done by one union-find; beyond that no task sees them all.
+_TASK_EDGES = 100_000
 
 
 def _least(edges, tasks):
@@ -57,7 +58,9 @@ def components(edges):
     forest = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = saved(forest.mapInArrow(_forest, "u bigint, v bigint").where("u != v").distinct())
     state, tasks = None, pieces(edges.count(), _TASK_EDGES)
-    while True:
+    if tasks == 1:
+        edges = saved(edges.coalesce(1).mapInArrow(_forest, "u bigint, v bigint").where("u != v"))
+    while tasks > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both, tasks).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _least(large, tasks)
@@ -71,3 +74,17 @@ def components(edges):
         state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.distinct().coalesce(tasks))
+
+
+def joined(groups, links):
+    """The components (node, component) after links (u, v) were added. Only the links between
+    different components are worked on, as edges between their least nodes."""
+    ends = links
+    for end in ("u", "v"):
+        named = groups.select(F.col("node").alias(end), F.col("component").alias(f"{end}_least"))
+        ends = ends.join(named, end, "left")
+    between = ends.select(F.coalesce("u_least", "u").alias("u"), F.coalesce("v_least", "v").alias("v"))
+    moved = saved(components(between))
+    moves = moved.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    kept = groups.join(moves, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+    return saved(kept.unionByName(moved.join(groups, "node", "left_anti")))

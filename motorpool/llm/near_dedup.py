@@ -1,9 +1,11 @@
 """Near-duplicate documents by SuperMinHash, banding, verification and union-find.
 
 Documents with the same shingle set form a class, joined before anything is compared. The signature
-of a class gives one key per band. In each bucket of equal keys every class is paired with the
-bucket's least class; the pairs are confirmed on the full shingle sets. A bucket that still spans
-several groups afterwards is searched on: each class outside the bucket's largest group is compared by
+of a class gives one key per band. First every class is paired with one class, the least of most of
+its buckets; the pairs are confirmed on the full shingle sets and make the first groups. Then every
+class of a bucket is paired with the bucket's least class where the two aren't in one group by now, so
+a family of near copies is compared about once a class, not once a class and band. A bucket that
+still spans several groups afterwards is searched on: each class outside the bucket's largest group is compared by
 sketch with the next 3 classes of the bucket, then with its blocks of 64 classes, nearest first, until
 the bucket is one group or all blocks have been compared. Only what passes becomes a pair, in the
 bucket of the first band that the two share. (Passed over are pairs whose signatures differ in so many
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, joined
 from .shared import saved
 from .shingles import linked, shingle_sets
 from .superminhash import band_keys, signatures, sketches, variance_factor
@@ -102,9 +104,18 @@ def confirmed(docs, pairs, size, percent):
     return both.mapInArrow(_confirm(size, percent), "u bigint, v bigint")
 
 
-def _groups(edges):
-    """Class -> group for the classes that have a link."""
-    return saved(components(edges))
+def _most_shared(members):
+    """Each class with the class that is the least of most of its buckets."""
+    often = members.where("class > least").groupBy("class", "least").agg(F.count("*").alias("n"))
+    best = often.groupBy("class").agg(F.min(F.struct(-F.col("n"), "least")).alias("best"))
+    return best.select(F.col("best.least").alias("u"), F.col("class").alias("v"))
+
+
+def _with_least(still):
+    """Each class of an open bucket with the bucket's least class, where their groups differ."""
+    least = still.groupBy("bucket").agg(F.min(F.struct("class", "grp")).alias("least"))
+    apart = still.join(least, "bucket").where("grp <> least.grp")
+    return apart.select(F.col("least.class").alias("u"), F.col("class").alias("v")).distinct()
 
 
 def _open_buckets(members, groups):
@@ -216,11 +227,15 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     keyed = leaders.select(F.col("doc_id").alias("class"), F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     members = saved(keyed.join(shared.where("least < most").select("bucket", "least"), "bucket"))
-    pairs = saved(members.where("class > least").select(F.col("least").alias("u"), F.col("class").alias("v")).distinct())
-    links = saved(confirmed(docs, pairs, size, percent).unionByName(repeated.select("u", "v")))
-    groups = _groups(links)
+    tested = saved(_most_shared(members))
+    groups = saved(components(confirmed(docs, tested, size, percent).unionByName(repeated.select("u", "v"))))
 
     still = saved(_open_buckets(members, groups))
+    if not still.isEmpty():
+        pairs = saved(_with_least(still).join(tested, ["u", "v"], "left_anti"))
+        tested = tested.unionByName(pairs)
+        groups = joined(groups, confirmed(docs, pairs, size, percent))
+        still = saved(_open_buckets(still.select("bucket", "class"), groups))
     if not still.isEmpty():
         drawn = leaders.join(still.select("class").distinct(), leaders["doc_id"] == F.col("class"), "left_semi")
         drawn = saved(
@@ -230,7 +245,7 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
             .dropDuplicates(["class"]))
         ranked = saved(_ranked(still))
         blocks = ranked.agg(F.max("n")).first()[0] // _RING_BLOCK + 1
-        tested, far = pairs, _far(bands * rows, percent)
+        far = _far(bands * rows, percent)
         rows_now, outside = _outside(ranked, groups)
         # The nearest places first, then blocks in growing steps: groups merge before most pairs are due.
         rounds, first = [None], 0
@@ -246,8 +261,7 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
             tested = tested.unionByName(pairs)
             more = saved(confirmed(docs, pairs, size, percent))
             if not more.isEmpty():
-                links = links.unionByName(more)
-                groups = _groups(links)
+                groups = joined(groups, more)
                 rows_now, outside = _outside(ranked, groups)
                 if outside.isEmpty():
                     break
