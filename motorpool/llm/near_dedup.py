@@ -22,6 +22,7 @@ are one document to the links of all of its texts. An empty table gives an empty
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -79,12 +80,14 @@ def _place(size, bands, rows):
 def _confirm(size, percent):
     def confirm(batches):
         for batch in batches:
-            held = np.cumsum([len(a) + len(b) for a, b in zip(text_list(batch["text_u"]), text_list(batch["text_v"]), strict=True)])
-            cuts = np.flatnonzero(np.diff(held // _BLOCK_BYTES, prepend=-1) > 0) if len(held) else held
-            for first, end in zip(cuts, [*cuts[1:], len(held)], strict=True):
+            both = sum(pc.binary_length(batch[c]).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("text_u", "text_v"))
+            cuts = np.flatnonzero(np.diff(np.cumsum(both) // _BLOCK_BYTES, prepend=-1) > 0)
+            for first, end in zip(cuts, [*cuts[1:], len(both)], strict=True):
                 part = batch.slice(first, end - first)
-                a, b = (shingle_sets(text_list(part[c]), size) for c in ("text_u", "text_v"))
-                keep = pa.array([linked(x, y, percent) for x, y in zip(a, b, strict=True)], pa.bool_())
+                coded = part["text_u"].dictionary_encode()  # many rows share one text_u
+                a, at = shingle_sets(text_list(coded.dictionary), size), coded.indices.to_numpy()
+                b = shingle_sets(text_list(part["text_v"]), size)
+                keep = pa.array([linked(a[i], y, percent) for i, y in zip(at, b, strict=True)], pa.bool_())
                 yield part.select(["u", "v"]).filter(keep)
     return confirm
 
@@ -228,13 +231,14 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     shared = keyed.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     members = saved(keyed.join(shared.where("least < most").select("bucket", "least"), "bucket"))
     tested = saved(_most_shared(members))
-    groups = saved(components(confirmed(docs, tested, size, percent).unionByName(repeated.select("u", "v"))))
+    links = saved(confirmed(docs, tested, size, percent).unionByName(repeated.select("u", "v")))
+    groups = saved(components(links))
 
     still = saved(_open_buckets(members, groups))
     if not still.isEmpty():
         pairs = saved(_with_least(still).join(tested, ["u", "v"], "left_anti"))
         tested = tested.unionByName(pairs)
-        groups = joined(groups, confirmed(docs, pairs, size, percent))
+        groups = joined(groups, saved(confirmed(docs, pairs, size, percent)))
         still = saved(_open_buckets(still.select("bucket", "class"), groups))
     if not still.isEmpty():
         drawn = leaders.join(still.select("class").distinct(), leaders["doc_id"] == F.col("class"), "left_semi")

@@ -19,7 +19,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 def _walk(elements, step, slots, earlier):
     """The slot of each element in this step of its Fisher-Yates shuffle, its fraction, its draw."""
     drawn = mix(elements + np.uint64((int(_STEP) * (step + 1)) % 2**64))
-    draw = step + ((drawn >> np.uint64(40)) * np.uint64(slots - step) >> np.uint64(24)).astype(np.int64)
+    draw = np.uint8(step) + ((drawn >> np.uint64(40)) * np.uint64(slots - step) >> np.uint64(24)).astype(np.uint8)
     place = draw.copy()
     for before in range(step - 1, -1, -1):  # undo the swaps of the earlier steps
         place[place == earlier[before]] = before
