@@ -8,9 +8,10 @@ a family of near copies is compared about once a class, not once a class and ban
 still spans several groups afterwards is searched on: each class outside the bucket's largest group is compared by
 sketch with the next 3 classes of the bucket, then with its blocks of 64 classes, nearest first, until
 the bucket is one group or all blocks have been compared. Only what passes becomes a pair, in the
-bucket of the first band that the two share. (Passed over are pairs whose signatures differ in so many
-slots that a link is out of the question, 4.5 standard errors of SuperMinHash, or whose sizes differ
-too much.) So no link that any band finds is lost, and a group of copies costs a pair each.
+bucket of the first band that the two share. (Passed over are pairs whose sizes
+differ too much; whose parity maps, 2048 bits for each set, differ in more bits than linked sets differ
+in elements, which rules a link out exactly; or whose signatures differ in so many slots that a link is
+out of the question, 4.5 standard errors of SuperMinHash.) So no link that any band finds is lost, and a group of copies costs a pair each.
 
 With 40 bands of 6 rows a pair of similarity 0.8 shares a band with probability 1 - 5e-6, a pair of
 0.9 with all but certainty; unrelated documents (similarity 0.05) meet with probability 6e-7.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .components import components, joined
 from .shared import saved
 from .shingles import linked, shingle_sets
-from .superminhash import band_keys, signatures, sketches, variance_factor
+from .superminhash import band_keys, parity_maps, signatures, sketches, variance_factor
 from .words import mix, text_list
 
 SHINGLE_WORDS = 5
@@ -40,7 +41,11 @@ IDS_BROADCAST = 500_000
 _BLOCK_BYTES = 2_000_000
 #: Classes of a bucket that an outside class is compared with at a time.
 _RING_BLOCK = 64
-_PLACED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
+#: Bits of a set's parity map; a longer one tells larger sets apart.
+PARITY_BITS = 2048
+_PLACED = (
+    "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, "
+    "bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
 def _blocks(batches, limit=_BLOCK_BYTES):
@@ -69,11 +74,11 @@ def _place(size, bands, rows):
             signature = signatures(sets, bands * rows)
             lists = [
                 pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
-                for x in (band_keys(signature, bands), sketches(signature))]
+                for x in (band_keys(signature, bands), sketches(signature), parity_maps(sets, PARITY_BITS))]
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(_sum_hashes(sets, 1)), pa.array(_sum_hashes(sets, 2)), *lists,
-            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch", "parity"])
     return place
 
 
@@ -150,8 +155,10 @@ def _outside(ranked, groups):
 
 
 def _far(slots, percent):
-    """SQL: two classes whose sketches (a, b) differ in more slots than a linked pair's do, by more
-    than 4.5 standard errors; and sizes that rule a link out."""
+    """SQL: sizes that rule a link out; parity maps that do, exactly: linked sets differ in at most
+    (size_a + size_b) * (100 - percent) / (100 + percent) elements; and, for sets too large for the
+    maps, sketches (a, b) that differ in more slots than a linked pair's do, by more than 4.5
+    standard errors."""
     unlike = 1 - percent / 100
     shown = unlike * 15 / 16  # differing slots differ in their four bits 15 times of 16
 
@@ -169,7 +176,10 @@ def _far(slots, percent):
             [fold.format(i=i), *(f"shiftrightunsigned({fold.format(i=i)}, {k})" for k in (1, 2, 3))]
         ) + f") & {0x1111111111111111})"
         for i in range(-(-slots // 16)))
-    return f"100 * least(size_a, size_b) < {percent} * greatest(size_a, size_b) OR ({differ}) > {limit}"
+    apart = " + ".join(f"bit_count(parity_a[{i}] ^ parity_b[{i}])" for i in range(PARITY_BITS // 64))
+    return (
+        f"100 * least(size_a, size_b) < {percent} * greatest(size_a, size_b) "
+        f"OR {100 + percent} * ({apart}) > {100 - percent} * (size_a + size_b) OR ({differ}) > {limit}")
 
 
 def _same_first(bands):
@@ -181,7 +191,7 @@ def _same_first(bands):
 
 def _named(rows, drawn, end):
     """Members with sketch, size and band keys of their class, named for one end of a pair."""
-    names = {"sketch": end, "n_shingles": f"size_{end}", "keys": f"keys_{end}"}
+    names = {"sketch": end, "n_shingles": f"size_{end}", "keys": f"keys_{end}", "parity": f"parity_{end}"}
     return rows.join(drawn, "class").withColumnsRenamed(names)
 
 
@@ -189,7 +199,7 @@ def _near_places(rows, outside, drawn, last, far):
     """Pairs of an outside class and one of the next places of the bucket's ring."""
     ahead = _named(outside, drawn, "a").where("n > 1").select(
         F.col("bucket").alias("in_bucket"), F.explode(F.sequence(F.lit(1), F.least(F.lit(last), F.col("n") - 1))).alias("step"),
-        F.col("place").alias("from"), F.col("n").alias("ring"), F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a")
+        F.col("place").alias("from"), F.col("n").alias("ring"), F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a", "parity_a")
     ahead = ahead.withColumn("at", (F.col("from") + F.col("step") - 1) % F.col("ring") + 1)
     meet = (F.col("in_bucket") == F.col("bucket")) & (F.col("at") == F.col("place")) & (F.col("g") != F.col("grp"))
     return ahead.join(_named(rows, drawn, "b"), meet & ~F.expr(far))
@@ -202,7 +212,7 @@ def _near_blocks(rows, outside, drawn, first, last, far, bands):
     ahead = _named(outside, drawn, "a").withColumn("ring", block("n") + 1).where(F.col("ring") > first).select(
         F.col("bucket").alias("in_bucket"),
         F.explode(F.sequence(F.lit(first), F.least(F.lit(last), F.col("ring") - 1))).alias("step"),
-        block("place").alias("from"), "ring", F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a", "keys_a")
+        block("place").alias("from"), "ring", F.col("class").alias("u"), F.col("grp").alias("g"), "a", "size_a", "keys_a", "parity_a")
     ahead = ahead.withColumn("at", (F.col("from") + F.col("step")) % F.col("ring"))
     apart = outside.select(F.col("bucket").alias("out_bucket"), F.col("class").alias("out_class"))
     there = rows.join(apart, (F.col("bucket") == F.col("out_bucket")) & (F.col("class") == F.col("out_class")), "left")
@@ -244,7 +254,7 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
         drawn = leaders.join(still.select("class").distinct(), leaders["doc_id"] == F.col("class"), "left_semi")
         drawn = saved(
             drawn.select(
-                F.col("doc_id").alias("class"), "sketch", "n_shingles",
+                F.col("doc_id").alias("class"), "sketch", "n_shingles", "parity",
                 F.transform("bands", lambda key: key.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("keys"))
             .dropDuplicates(["class"]))
         ranked = saved(_ranked(still))

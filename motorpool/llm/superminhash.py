@@ -71,6 +71,18 @@ def sketches(signature):
     return out.view(np.int64)
 
 
+def parity_maps(sets, bits):
+    """A row of bits (a multiple of 64, a power of two) for each set: how many elements fall on each
+    bit, modulo 2. Two sets differ in at least as many elements as their rows differ in bits."""
+    width = bits // 64
+    out = np.zeros((len(sets), width), dtype=np.uint64)
+    if sets:
+        elements, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = mix(elements ^ _STEP) & np.uint64(bits - 1)
+        np.bitwise_xor.at(out.reshape(-1), owner * width + (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def variance_factor(slots, union):
     """The variance of the share of equal slots, for two sets of so many elements together, against
     that of independent slots: below 1, and near 1/2 for small sets (from the published analysis)."""

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from motorpool.llm import components, near_dedup
+from motorpool.llm.superminhash import parity_maps
 
 
 def least_reachable(edges):
@@ -50,3 +52,15 @@ def test_a_family_is_compared_about_once_a_class(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, size=2).collect()}
     assert got == {i: 601 for i, _ in texts} | {5000: 5000}
     assert sum(compared) < 2 * len(texts)
+
+
+def test_parity_maps_never_differ_more_than_the_sets():
+    draw = np.random.default_rng(4)
+    for size, gone in [(1, 1), (40, 3), (300, 60), (3000, 900), (20, 0)]:
+        pool = np.unique(draw.integers(0, 2**63, 2 * size + 5, dtype=np.uint64))
+        sets = [np.sort(pool[:size]), np.sort(pool[gone:size + gone]), pool[:0]]
+        maps = parity_maps(sets, 2048).view(np.uint64)
+        apart = [int(np.bitwise_count(maps[0] ^ m).sum()) for m in maps[1:]]
+        assert apart[0] <= 2 * gone and apart[1] <= size
+        assert apart[0] >= 1.5 * min(gone, 60)
+    assert parity_maps([], 2048).shape == (0, 32)
