@@ -222,6 +222,18 @@ def test_a_run_rebuilds_touched_days_only_and_equals_a_full_build(spark, tmp_pat
         marts.users_summary(fact, *dimensions[:2], fewer))
 
 
+def test_a_period_is_written_once_and_aggregated_by_year_only(spark, tmp_path):
+    warehouse = opened(spark, tmp_path)
+    many = [rental(f"r{i}", T(2025, 7, 1 + i % 3, 10), f"u{1 + i % 2}") for i in range(12)]
+    run_day(warehouse, sources(spark, [user("u1"), user("u2")], [vehicle("v1")], many), T(2025, 7, 5, 1))
+    assert warehouse.partials("usage", "period").read().count() == 12
+    for name in ("user_totals", "vehicle_totals", "user_cities", "vehicle_cities"):
+        assert not warehouse.partials(name, "period").exists()
+        assert warehouse.partials(name, "year").partitions() == ["2025"]
+    assert rows_of(rollups.yearly(warehouse, "usage").select("user_id", "vehicle_id", "n")) == [
+        ("u1", "v1", 6), ("u2", "v1", 6)]
+
+
 def test_marts_with_shuffled_dimensions_are_the_same(spark, tmp_path, no_broadcast):
     warehouse = opened(spark, tmp_path)
     tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
