@@ -307,3 +307,20 @@ def test_files_per_batch_decides_nothing(spark, tmp_path, files_per_batch):
                          for w in (streamed, whole))
         assert got == expected
         assert [r[0] for r in got] == ["r1", "r2", "r3"]
+
+
+def test_the_wide_view_meets_users_and_vehicles_while_rows_are_narrow(spark, tmp_path, monkeypatch):
+    warehouse = opened(spark, tmp_path)
+    tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
+    joins, plain = [], star.lookup_join
+
+    def noted(rows, lookup, key, spread_by, how="inner", sample_of=None):
+        joins.append((key, sample_of))
+        return plain(rows, lookup, key, spread_by, how, sample_of)
+
+    monkeypatch.setattr(star, "lookup_join", noted)
+    dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
+    rentals = tables["clean_transactions"]
+    wide = star.denormalized_transactions(tables["fact_transactions"], *dimensions, rentals)
+    assert joins == [(c, rentals) for c in ("user_id", "vehicle_id", "pickup_location", "dropoff_location")]
+    assert rows_of(wide) == rows_of(tables["denormalized_transactions"])
