@@ -358,3 +358,22 @@ def test_history_from_changes_keeps_unknown_keys_and_times(spark):
     assert rows_of(found) == sorted([
         ("a", "x", first, None), ("a", "w", None, first),
         (None, "y", first, second), (None, "z", second, None)], key=repr)
+
+
+def test_a_shuffled_join_without_hot_keys_uses_how_the_rows_lie(spark, no_broadcast):
+    rows = spark.range(300000).selectExpr("id", "id % 150000 AS k")
+    known = spark.range(150000).selectExpr("id AS k")
+    named = known.selectExpr("k", "k + 1 AS v")
+    met = lookup_join(lookup_join(rows, known, "k", ["id"], "left_semi"), named, "k", ["id"], sample_of=rows)
+    plan = executed_plan(met)
+    assert "_piece" not in plan
+    assert plan.count("Exchange hashpartitioning(k") == 3
+    assert met.where("v = k + 1").count() == 300000
+
+
+def test_mode_by_counts_one_attribute_at_a_time(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 1, None), ("a", 2, None), (None, 3, "z")], "k string, n int, s string")
+    modes = mode_by(rows, "k", {"number": "n", "text": "s"})
+    assert "Generate" not in executed_plan(modes)
+    assert rows_of(modes) == sorted([("a", 1, None), (None, 3, "z")], key=repr)
