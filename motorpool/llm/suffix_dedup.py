@@ -33,9 +33,19 @@ from .words import joined, mix, powers, prefix_sums, slice_hashes
 LENGTH = 50
 GRAM = 24
 CHUNK_BYTES = 2_000_000
+BLOCK = 1 << 14
 _RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
 
+def _numbers(data):
+    """The eight bytes from each place on as a number, the first byte leading."""
+    out = np.empty(len(data) - 7, dtype=np.uint64)
+    for k in range(8):
+        here = data[k:k + (len(data) - k) // 8 * 8].view(">u8")
+        out[k::8] = here[:len(out[k::8])]
+    return out
+
+
 def suffix_array(strings, least):
     """(string, offset, common prefix with the one before) of all suffixes of at least `least`
     bytes, in order of their bytes (a prefix first); strings as a list of bytes."""
@@ -46,24 +56,24 @@ def suffix_array(strings, least):
     owner = np.repeat(np.arange(len(strings)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     start, left = at[owner] + offset, sizes[owner] - offset
-    data = np.concatenate([data, np.zeros(most + 8, np.uint8)])
-    columns = []
-    for step in range(0, most, 8):  # eight bytes at a time, as numbers; past the end of a string: 0
-        word = np.zeros(len(start), dtype=np.uint64)
-        for k in range(step, step + 8):
-            byte = np.where(k < left, data[start + k], 0).astype(np.uint64)
-            word = word << np.uint64(8) | byte
+    # Eight bytes at a time, as numbers that order like the bytes; past the end of a string: 0.
+    data = np.concatenate([data, np.zeros(most + 16, np.uint8)])
+    words, columns = _numbers(data), []
+    for step in range(0, most, 8):
+        beyond = np.clip(8 - (left - step), 0, 8).astype(np.uint64) * np.uint64(8)
+        word = words[start + step] >> np.minimum(beyond, np.uint64(63)) << np.minimum(beyond, np.uint64(63))
+        word[beyond == 64] = 0
         columns.append(word)
     order = np.lexsort([left, *columns[::-1]])
     prefix = np.zeros(len(order), dtype=np.int64)
-    same = np.ones(max(0, len(order) - 1), dtype=bool)
+    same = np.arange(1, len(order))  # places that equal the one before so far
     for word in columns:
-        differ = word[order[1:]] ^ word[order[:-1]]
-        equal = np.full(len(differ), 8)
-        for k in range(8):
-            equal[(differ >> np.uint64(56 - 8 * k) & np.uint64(255) > 0) & (equal == 8)] = k
-        prefix[1:] += np.where(same, equal, 0)
-        same &= equal == 8
+        differ = word[order[same]] ^ word[order[same - 1]]
+        equal = differ == 0
+        apart = differ[~equal].astype(">u8").view(np.uint8).reshape(-1, 8) > 0
+        prefix[same[~equal]] += apart.argmax(axis=1)
+        same = same[equal]
+        prefix[same] += 8
     if len(order):
         prefix[1:] = np.minimum(prefix[1:], np.minimum(left[order[1:]], left[order[:-1]]))
     return owner[order], offset[order], prefix
@@ -127,24 +137,44 @@ class _Regions:
         n, wide = len(self.data), length - GRAM + 1
         self.anchor = self.first = self.last = self.rank = np.zeros(0, dtype=np.int64)
         self.key = np.zeros(0, dtype=np.uint64)
-        ends = self.at[1:] - 1  # without the line feed between texts
-        starts = [np.arange(a, e - length + 1) for a, e in zip(self.at[:-1], ends, strict=True) if e - a >= length]
-        if n < length or not starts:
+        ends = self.at[1:] - length  # after the last window start, without the line feed between texts
+        long = ends > self.at[:-1]
+        if not long.any():
             return
-        raw = (self.sums[GRAM:] - self.sums[:n - GRAM + 1]) * powers(n + 1, inverse=True)[:n - GRAM + 1]
-        grams = mix(raw)
-        # The place in the low half makes the least value name it, the first one on a tie.
-        named = grams & np.uint64(0xFFFFFFFF00000000) | np.arange(len(grams), dtype=np.uint64)
-        window = np.concatenate(starts)
-        anchor = (_window_minima(named, wide)[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = np.ones(len(window), dtype=bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
-        first = np.flatnonzero(new)
-        self.first = window[first]
-        self.last = window[np.append(first[1:], len(window)) - 1]  # first and last window start
-        self.anchor = anchor[first]
-        self.key = mix(grams[self.anchor])
-        self.rank = pack.rank[np.searchsorted(self.at, self.first, side="right") - 1]
+        anchor = self._anchors(n - length + 1, wide)
+        inside = np.zeros(n - length + 2, dtype=np.int8)
+        inside[self.at[:-1][long]] += 1
+        inside[ends[long]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        new = np.ones(len(anchor), dtype=bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        new[self.at[:-1][long]] = True
+        new &= inside
+        self.first = np.flatnonzero(new)
+        text = np.searchsorted(self.at, self.first, side="right") - 1
+        # First and last window start.
+        self.last = np.minimum(np.append(self.first[1:], len(anchor)), ends[text]) - 1
+        self.anchor = anchor[self.first].astype(np.int64)
+        self.key = mix(self._grams(self.anchor, self.anchor + GRAM, self.anchor))
+        self.rank = pack.rank[text]
+
+    def _grams(self, first, end, power):
+        raw = self.sums[end] - self.sums[first]
+        raw *= powers(len(self.data) + 1, inverse=True)[power]
+        return mix(raw)
+
+    def _anchors(self, windows, wide):
+        """The anchor of each window start, block by block: what a block needs stays in the processor's cache."""
+        out = np.empty(windows, dtype=np.uint32)
+        for a in range(0, windows, BLOCK):
+            b = min(a + BLOCK, windows)
+            grams = b - a + wide - 1
+            named = self._grams(slice(a, a + grams), slice(a + GRAM, a + grams + GRAM), slice(a, a + grams))
+            # The place in the low half makes the least value name it, the first one on a tie.
+            named &= np.uint64(0xFFFFFFFF00000000)
+            named |= np.arange(a, a + grams, dtype=np.uint64)
+            out[a:b] = _window_minima(named, wide) & np.uint64(0xFFFFFFFF)
+        return out
 
     def only(self, which):
         self.first, self.last, self.anchor, self.key, self.rank = (
@@ -172,7 +202,7 @@ def _groups(*columns):
 def _distinct_anchors(regions, bits):
     """(short key of each region, distinct ones in order, 1 where several documents have it)."""
     short = regions.key >> np.uint64(64 - bits)
-    order = np.lexsort((regions.rank, short))
+    order = np.argsort(short, kind="stable")  # the regions lie by rank
     ordered, rank = short[order], regions.rank[order]
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(order) else order
     last = np.append(first[1:], len(order)) - 1 if len(order) else order
@@ -280,32 +310,48 @@ def repeats_removed(docs, length=LENGTH):
             "keys": pa.array(load, pa.binary())})
 
     def gone(regions, told):
-        """Starts of the windows to remove."""
+        """(first, end) of the stretches to remove, which may overlap."""
         group, keys, _, least, _ = _shared(regions, bits, ranges, question(told, 0))
         lost, compare = _contested(regions, group, keys, ranges, question(told, 1))
-        said, windows, out = question(told, 2), {}, []
+        said = question(told, 2)
         at = by_range(keys[compare], 64, ranges)
         sizes = np.zeros(len(keys), dtype=np.int64)
         sizes[group] = regions.last - regions.first + 1
+        # Runs of lost windows of the groups that were compared, in order of their group.
+        of, begin, stop = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for r, data in zip(said["range"].to_pylist(), said["bits"].to_pylist(), strict=True):
             some = compare[at[r]:at[r + 1]]
-            flags = np.unpackbits(np.frombuffer(data, np.uint8), count=int(sizes[some].sum())).astype(bool)
-            windows.update(zip(some.tolist(), np.split(flags, np.cumsum(sizes[some])[:-1]), strict=True))
+            ends = np.cumsum(sizes[some])
+            flags = np.zeros(int(ends[-1]) + len(some) + 1, dtype=np.int8)  # with a 0 after each group
+            owner = np.repeat(np.arange(len(some)), sizes[some])
+            flags[1 + np.arange(int(ends[-1])) + owner] = np.unpackbits(np.frombuffer(data, np.uint8), count=int(ends[-1]))
+            steps = np.diff(flags, append=np.int8(0))
+            up, down = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+            run = owner[up - np.searchsorted(ends + np.arange(1, len(some) + 1), up, side="right")]
+            before = (ends - sizes[some] + np.arange(len(some)))[run]
+            of.append(some[run])
+            begin.append(up - before)
+            stop.append(down - before)
+        of, begin, stop = (np.concatenate(c) for c in (of, begin, stop))
+        order = np.argsort(of, kind="stable")
+        of, begin, stop = of[order], begin[order], stop[order]
         whole = lost[group] | (regions.rank > least[group])
-        for i in np.flatnonzero(whole):
-            out.append(np.arange(regions.first[i], regions.last[i] + 1))
-        for i in np.flatnonzero(~whole):
-            if (flags := windows.get(int(group[i]))) is not None:
-                out.append(regions.first[i] + np.flatnonzero(flags))
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+        part = np.flatnonzero(~whole)
+        low = np.searchsorted(of, group[part], side="left")
+        runs = np.searchsorted(of, group[part], side="right") - low
+        owner = np.repeat(part, runs)
+        run = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs) + np.repeat(low, runs)
+        first = np.append(regions.first[whole], regions.first[owner] + begin[run])
+        last = np.append(regions.last[whole], regions.first[owner] + stop[run] - 1)
+        return first, last + length
 
     def finish(chunk, pack, told):
         regions = _Regions(pack, length)
         steps = np.zeros(len(regions.data) + length + 1, dtype=np.int32)
         at = regions.at
-        starts = gone(regions, told)
-        np.add.at(steps, starts, 1)
-        np.add.at(steps, starts + length, -1)
+        first, end = gone(regions, told)
+        np.add.at(steps, first, 1)
+        np.add.at(steps, end, -1)
         covered, rows = np.cumsum(steps) > 0, []
         for i, text in enumerate(pack.texts):
             if pack.rank[i] >= 0 and (mask := covered[at[i]:at[i] + len(text)]).any():

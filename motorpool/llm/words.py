@@ -18,6 +18,7 @@ SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+_BLOCK = 1 << 14
 _powers = {}
 
 
@@ -41,7 +42,12 @@ def powers(n, inverse=False):
 def prefix_sums(data):
     """sums[i]: the polynomial of data[:i]; a slice's hash is a difference, see slice_hashes."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers(len(data)), dtype=np.uint64, out=sums[1:])
+    power = powers(len(data))
+    for a in range(0, len(data), _BLOCK):  # what a block needs stays in the processor's cache
+        terms = _BYTE_VALUES[data[a:a + _BLOCK]]
+        terms *= power[a:a + _BLOCK]
+        terms[:1] += sums[a:a + 1]
+        np.cumsum(terms, out=sums[a + 1:a + 1 + len(terms)])
     return sums
 
 

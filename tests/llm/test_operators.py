@@ -1,13 +1,17 @@
 """The operators against brute force, on texts with copies, nulls, empty and long texts and ties."""
 
 import hashlib
+import itertools
+import os
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from motorpool.llm import (
-    block_dedup, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
+    block_dedup, chunks, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
     secret_scan, suffix_dedup,
 )
 from motorpool.llm.components import components
@@ -91,6 +95,39 @@ def test_suffix_dedup_is_exact(docs, empty):
     assert suffix_dedup.repeats_removed(empty).count() == 0
 
 
+def test_suffix_array_equals_sorted_suffixes():
+    random = np.random.default_rng(5)
+    strings = [random.integers(0, 2, n, dtype=np.uint8).tobytes() for n in random.integers(0, 90, 40)]
+    strings += [b"", b"\x00" * 30, b"\xff" * 30, strings[3], strings[3][:20]]
+    owner, offset, prefix = suffix_dedup.suffix_array(strings, 7)
+    got = [strings[i][o:] for i, o in zip(owner.tolist(), offset.tolist(), strict=True)]
+    assert got == sorted(s[o:] for s in strings for o in range(len(s) - 6))
+    shared = [len(os.path.commonprefix([a, b])) for a, b in itertools.pairwise(got)]
+    assert prefix.tolist() == [0, *shared]
+
+
+def test_regions_of_a_chunk_need_a_few_bytes_for_each_of_the_text():
+    texts = [sentence(i, 3_000) for i in range(40)]
+    pack = chunks.Pack(pa.table({"doc_id": range(40), "text": texts}))
+    size = sum(len(t.encode()) for t in texts)
+    suffix_dedup._Regions(pack, 50)  # the table of powers is kept
+    tracemalloc.start()
+    regions = suffix_dedup._Regions(pack, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # One value a window of 50 bytes: the place of the least of its stretches.
+    data, sums = regions.data.tobytes(), regions.sums
+    at, end = int(regions.at[7]), int(regions.at[8]) - 1
+    for i in np.flatnonzero((regions.first >= at) & (regions.first < end)).tolist():
+        for start in (int(regions.first[i]), int(regions.last[i])):
+            assert start + 50 <= end
+            places = np.arange(start, start + 27)
+            grams = suffix_dedup.mix((sums[places + 24] - sums[places]) * suffix_dedup.powers(len(sums), inverse=True)[places])
+            assert places[(grams >> np.uint64(32)).argmin()] == regions.anchor[i]
+    assert data[at:end].decode() == texts[7] and regions.first[0] == 0
+    assert peak < 35 * size
+
+
 def test_maximal_repeats_list_all_occurrences():
     got = suffix_dedup.maximal_repeats([b"xabcdefy", b"zabcdefw", b"qbcdefw"], 4)
     assert sorted((n, sorted(o)) for n, o in got) == [
