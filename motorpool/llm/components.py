@@ -40,6 +40,14 @@ def _forest(batches):
 #: So many edges (some 10 MB) are also done by one union-find; beyond that no task sees them all.
 _TASK_EDGES = 100_000
 
+#: Rows of two numbers that are sent to all tasks (some 15 MB): larger tables are met in a shuffle.
+ROWS_SENT = 500_000
+
+
+def sent_whole(table):
+    """A stored table of two numbers a row, sent to all tasks where it is small: what it joins stays where it lies."""
+    return F.broadcast(table) if table.count() <= ROWS_SENT else table
+
 
 def _least(edges, tasks):
     """Each edge (u, v) with the least of u and all its partners. Partners of a hub are combined
@@ -56,10 +64,14 @@ def components(edges):
     not listed, self-edges and repeats are harmless. No component is ever in one place as a whole.
     """
     forest = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges = saved(forest.mapInArrow(_forest, "u bigint, v bigint").where("u != v").distinct())
-    state, tasks = None, pieces(edges.count(), _TASK_EDGES)
+    forest, edges, state = saved(forest), None, None
+    tasks = pieces(forest.count(), _TASK_EDGES)
+    if tasks > 1:
+        edges = saved(forest.mapInArrow(_forest, "u bigint, v bigint").where("u != v").distinct())
+        tasks = pieces(edges.count(), _TASK_EDGES)
     if tasks == 1:
-        edges = saved(edges.coalesce(1).mapInArrow(_forest, "u bigint, v bigint").where("u != v"))
+        few = forest if edges is None else edges
+        edges = saved(few.coalesce(1).mapInArrow(_forest, "u bigint, v bigint").where("u != v"))
     while tasks > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both, tasks).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -79,12 +91,13 @@ def components(edges):
 def joined(groups, links):
     """The components (node, component) after links (u, v) were added. Only the links between
     different components are worked on, as edges between their least nodes."""
-    ends = links
+    ends, known = links, sent_whole(groups)
     for end in ("u", "v"):
-        named = groups.select(F.col("node").alias(end), F.col("component").alias(f"{end}_least"))
+        named = known.select(F.col("node").alias(end), F.col("component").alias(f"{end}_least"))
         ends = ends.join(named, end, "left")
     between = ends.select(F.coalesce("u_least", "u").alias("u"), F.coalesce("v_least", "v").alias("v"))
     moved = saved(components(between))
-    moves = moved.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    few = sent_whole(moved)
+    moves = few.select(F.col("node").alias("component"), F.col("component").alias("least"))
     kept = groups.join(moves, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
-    return saved(kept.unionByName(moved.join(groups, "node", "left_anti")))
+    return saved(kept.unionByName(moved.join(known, "node", "left_anti")))

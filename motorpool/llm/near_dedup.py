@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .components import components, joined
+from .components import ROWS_SENT, components, joined, sent_whole
 from .shared import saved
 from .shingles import linked, shingle_sets
 from .superminhash import band_keys, parity_maps, signatures, sketches, variance_factor
@@ -36,8 +36,6 @@ from .words import mix, text_list
 SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
-#: Eight bytes each.
-IDS_BROADCAST = 500_000
 _BLOCK_BYTES = 2_000_000
 #: Classes of a bucket that an outside class is compared with at a time.
 _RING_BLOCK = 64
@@ -103,7 +101,10 @@ def confirmed(docs, pairs, size, percent):
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     needed = saved(
         pairs.select(F.col("u").alias("doc_id")).distinct().unionByName(pairs.select(F.col("v").alias("doc_id")).distinct()).distinct())
-    if needed.count() <= IDS_BROADCAST:
+    n = needed.count()
+    if n == 0:
+        return needed.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))
+    if n <= ROWS_SENT:
         texts = texts.join(F.broadcast(needed), "doc_id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
@@ -129,7 +130,7 @@ def _with_least(still):
 def _open_buckets(members, groups):
     """The members of buckets that still span several groups, each with its group."""
     placed = (
-        members.join(groups, members["class"] == groups["node"], "left")
+        members.join(sent_whole(groups), members["class"] == groups["node"], "left")
         .select("bucket", "class", F.coalesce("component", "class").alias("grp")))
     split = placed.groupBy("bucket").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a < b")
     return placed.join(split.select("bucket"), "bucket", "left_semi")
@@ -148,7 +149,7 @@ def _ranked(still):
 def _outside(ranked, groups):
     """(all members with their present group, those that are not in the group of their bucket's home)."""
     rows = saved(
-        ranked.join(groups, ranked["class"] == groups["node"], "left")
+        ranked.join(sent_whole(groups), ranked["class"] == groups["node"], "left")
         .select(*ranked.columns, F.coalesce("component", "class").alias("grp")))
     homes = rows.where(F.col("class") == F.col("home")).select("bucket", F.col("grp").alias("home_grp"))
     return rows, rows.join(homes, "bucket").where("grp <> home_grp").drop("home_grp")
@@ -221,7 +222,8 @@ def _near_blocks(rows, outside, drawn, first, last, far, bands):
     meet = (F.col("in_bucket") == F.col("bucket")) & (F.col("at") == F.col("block")) & (F.col("g") != F.col("grp"))
     once = F.expr(
         "NOT is_out OR (step > 0 AND 2 * step < ring) OR ((step = 0 OR 2 * step = ring) AND u < class)")
-    return ahead.join(there, meet & once & ~F.expr(far) & F.expr(_same_first(bands)))
+    # The band test first: it is short, and leaves a pair of several common bands one comparison of maps.
+    return ahead.join(there, meet & once & F.expr(_same_first(bands)) & ~F.expr(far))
 
 
 def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows=ROWS):
@@ -281,7 +283,7 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
                     break
 
     found = (
-        in_class.join(groups, in_class["class"] == groups["node"], "left")
+        in_class.join(sent_whole(groups), in_class["class"] == groups["node"], "left")
         .select("doc_id", *member, F.coalesce("component", "class").alias("component_id")).distinct())
     result = placed.join(found, ["doc_id", *member], "left")
     component = F.coalesce("component_id", "doc_id")

@@ -14,7 +14,8 @@ from motorpool.llm import (
     block_dedup, chunks, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
     secret_scan, suffix_dedup,
 )
-from motorpool.llm.components import components
+from motorpool.llm.components import components, joined
+from motorpool.llm.shared import saved
 from motorpool.llm.superminhash import signatures
 
 WORDS = ["the", "of", "Ering", "thing", "é", "on", "and", "ha", "sh", "tion", "re", "ble", "at", "ou"]
@@ -175,6 +176,22 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(41), 0), 99: 99, 100: 99, 200: 200, 201: 200}
 
 
+def test_few_links_are_joined_without_shuffling_the_groups(spark, monkeypatch):
+    groups = saved(spark.range(0, 400, 1, 20).selectExpr("id AS node", "id - id % 4 AS component"))
+    links = saved(spark.range(0, 40, 1, 20).selectExpr("id * 8 AS u", "id * 8 + 5 AS v"))
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return saved(df)
+
+    monkeypatch.setattr("motorpool.llm.components.saved", noted)
+    got = dict(map(tuple, joined(groups, links).collect()))
+    assert got == {n: n - n % 8 if n < 320 else n - n % 4 for n in range(400)}
+    assert sum("BroadcastHashJoin" in p for p in plans) == 2
+    assert not any("SortMergeJoin" in p or "hashpartitioning" in p for p in plans)
+
+
 def test_decontamination_equals_brute_force(spark, docs, empty):
     passage = sentence(2, 30)
     items = spark.createDataFrame(
