@@ -44,9 +44,9 @@ _TASK_EDGES = 100_000
 ROWS_SENT = 500_000
 
 
-def sent_whole(table):
-    """A stored table of two numbers a row, sent to all tasks where it is small: what it joins stays where it lies."""
-    return F.broadcast(table) if table.count() <= ROWS_SENT else table
+def sent_whole(table, most=ROWS_SENT):
+    """A stored table, by default of two numbers a row, sent to all tasks where it is small: what it joins stays where it lies."""
+    return F.broadcast(table) if table.count() <= most else table
 
 
 def _least(edges, tasks):

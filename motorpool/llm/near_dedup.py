@@ -28,7 +28,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .components import ROWS_SENT, components, joined, sent_whole
-from .shared import saved
+from .shared import pieces, saved
 from .shingles import linked, shingle_sets
 from .superminhash import band_keys, parity_maps, signatures, sketches, variance_factor
 from .words import mix, text_list
@@ -39,6 +39,11 @@ BANDS, ROWS = 40, 6
 _BLOCK_BYTES = 2_000_000
 #: Classes of a bucket that an outside class is compared with at a time.
 _RING_BLOCK = 64
+#: Stored rows of a few numbers, and pairs of texts, that a task is given at least: small tables don't leave
+#: a file of a few bytes for each shuffle partition, and the shuffles that read them neither.
+_TASK_ROWS, _TASK_PAIRS = 100_000, 1000
+#: Classes with their signatures (some 600 bytes each) that are sent to all tasks.
+_DRAWN_SENT = 20_000
 #: Bits of a set's parity map; a longer one tells larger sets apart.
 PARITY_BITS = 2048
 _PLACED = (
@@ -46,6 +51,11 @@ _PLACED = (
     "bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
+def _stored(df, most):
+    """The same rows, of which there are so many at most, stored in no more parts than they fill."""
+    return saved(df.coalesce(pieces(most, _TASK_ROWS)))
+
+
 def _blocks(batches, limit=_BLOCK_BYTES):
     """Runs of (ids, texts) of a bounded size; a text above it is a run of its own."""
     ids, texts, held = [], [], 0
@@ -99,18 +109,20 @@ def confirmed(docs, pairs, size, percent):
     """The pairs (u, v) of doc_ids whose whole texts are linked. Each text moves once per partner;
     texts without one stay where they are while the ids of the others are few enough to send."""
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    needed = saved(
-        pairs.select(F.col("u").alias("doc_id")).distinct().unionByName(pairs.select(F.col("v").alias("doc_id")).distinct()).distinct())
-    n = needed.count()
-    if n == 0:
-        return needed.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))
-    if n <= ROWS_SENT:
+    asked = pairs.count()
+    if asked == 0:
+        return pairs.select("u", "v")
+    pairs = pairs.coalesce(pieces(asked, _TASK_ROWS))
+    needed = _stored(
+        pairs.select(F.col("u").alias("doc_id")).distinct().unionByName(pairs.select(F.col("v").alias("doc_id")).distinct()).distinct(),
+        2 * asked)
+    if needed.count() <= ROWS_SENT:
         texts = texts.join(F.broadcast(needed), "doc_id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
         .select("u", "v", "text_u", "text_v"))
-    return both.mapInArrow(_confirm(size, percent), "u bigint, v bigint")
+    return both.coalesce(pieces(asked, _TASK_PAIRS)).mapInArrow(_confirm(size, percent), "u bigint, v bigint")
 
 
 def _most_shared(members):
@@ -146,13 +158,13 @@ def _ranked(still):
     return still.select("bucket", "class", places.alias("place")).join(homes, "bucket")
 
 
-def _outside(ranked, groups):
-    """(all members with their present group, those that are not in the group of their bucket's home)."""
-    rows = saved(
+def _outside(ranked, groups, n):
+    """(all n members with their present group, those that are not in the group of their bucket's home)."""
+    rows = _stored(
         ranked.join(sent_whole(groups), ranked["class"] == groups["node"], "left")
-        .select(*ranked.columns, F.coalesce("component", "class").alias("grp")))
+        .select(*ranked.columns, F.coalesce("component", "class").alias("grp")), n)
     homes = rows.where(F.col("class") == F.col("home")).select("bucket", F.col("grp").alias("home_grp"))
-    return rows, rows.join(homes, "bucket").where("grp <> home_grp").drop("home_grp")
+    return rows, _stored(rows.join(homes, "bucket").where("grp <> home_grp").drop("home_grp"), n)
 
 
 def _far(slots, percent):
@@ -230,39 +242,47 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id bigint, text)."""
     docs = docs.select("doc_id", "text")
     placed = saved(docs.mapInArrow(_place(size, bands, rows), _PLACED))
+    n_docs = placed.count()
     member = ["set_a", "set_b"]
     known = placed.where("doc_id IS NOT NULL AND n_shingles > 0")
     ids = known.groupBy(*member).agg(F.min("doc_id").alias("class"))
-    in_class = known.select("doc_id", *member).join(ids, member)
+    in_class = _stored(known.select("doc_id", *member).join(ids, member), n_docs)
     repeated = in_class.groupBy("doc_id").agg(F.min("class").alias("u"), F.collect_set("class").alias("all"))
     repeated = repeated.where(F.size("all") > 1).select("u", F.explode("all").alias("v"))
 
     # One row of bands per class, from the row of its least document.
-    leaders = known.join(ids.select(*member, F.col("class").alias("doc_id")), [*member, "doc_id"])
-    keyed = leaders.select(F.col("doc_id").alias("class"), F.explode("bands").alias("bucket"))
+    least = in_class.where("doc_id = class").distinct()
+    leaders = known.join(least, [*member, "doc_id"])
+    keyed = leaders.select("class", F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
-    members = saved(keyed.join(shared.where("least < most").select("bucket", "least"), "bucket"))
-    tested = saved(_most_shared(members))
-    links = saved(confirmed(docs, tested, size, percent).unionByName(repeated.select("u", "v")))
+    members = _stored(keyed.join(shared.where("least < most").select("bucket", "least"), "bucket"), n_docs * bands)
+    tested = _stored(_most_shared(members), n_docs)
+    links = saved(confirmed(docs, tested, size, percent).unionByName(repeated.select("u", "v").coalesce(pieces(n_docs, _TASK_ROWS))))
     groups = saved(components(links))
 
-    still = saved(_open_buckets(members, groups))
-    if not still.isEmpty():
-        pairs = saved(_with_least(still).join(tested, ["u", "v"], "left_anti"))
+    still = _stored(_open_buckets(members, groups), n_docs * bands)
+    n = still.count()
+    if n:
+        pairs = _stored(_with_least(still).join(tested, ["u", "v"], "left_anti"), n)
         tested = tested.unionByName(pairs)
         groups = joined(groups, saved(confirmed(docs, pairs, size, percent)))
-        still = saved(_open_buckets(still.select("bucket", "class"), groups))
-    if not still.isEmpty():
-        drawn = leaders.join(still.select("class").distinct(), leaders["doc_id"] == F.col("class"), "left_semi")
-        drawn = saved(
-            drawn.select(
-                F.col("doc_id").alias("class"), "sketch", "n_shingles", "parity",
+        still = _stored(_open_buckets(still.select("bucket", "class"), groups), n)
+        n = still.count()
+    if n:
+        open_classes = _stored(still.select("class").distinct(), n)
+        n_drawn = open_classes.count()
+        drawn = known.join(sent_whole(open_classes), known["doc_id"] == open_classes["class"], "left_semi")
+        drawn = _stored(
+            drawn.join(least, [*member, "doc_id"])
+            .select(
+                "class", "sketch", "n_shingles", "parity",
                 F.transform("bands", lambda key: key.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("keys"))
-            .dropDuplicates(["class"]))
-        ranked = saved(_ranked(still))
+            .dropDuplicates(["class"]), n_drawn)
+        drawn = sent_whole(drawn, _DRAWN_SENT)
+        ranked = _stored(_ranked(still), n)
         blocks = ranked.agg(F.max("n")).first()[0] // _RING_BLOCK + 1
         far = _far(bands * rows, percent)
-        rows_now, outside = _outside(ranked, groups)
+        rows_now, outside = _outside(ranked, groups, n)
         # The nearest places first, then blocks in growing steps: groups merge before most pairs are due.
         rounds, first = [None], 0
         while first < blocks:
@@ -274,11 +294,12 @@ def near_duplicates(docs, size=SHINGLE_WORDS, percent=PERCENT, bands=BANDS, rows
                 else _near_blocks(rows_now, outside, drawn, *due, far, bands))
             made = made.select(F.least("u", "class").alias("u"), F.greatest("u", "class").alias("v")).distinct()
             pairs = saved(made.join(tested, ["u", "v"], "left_anti"))
+            pairs = pairs.coalesce(pieces(pairs.count(), _TASK_ROWS))
             tested = tested.unionByName(pairs)
             more = saved(confirmed(docs, pairs, size, percent))
             if not more.isEmpty():
                 groups = joined(groups, more)
-                rows_now, outside = _outside(ranked, groups)
+                rows_now, outside = _outside(ranked, groups, n)
                 if outside.isEmpty():
                     break
 

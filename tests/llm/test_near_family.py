@@ -64,3 +64,29 @@ def test_parity_maps_never_differ_more_than_the_sets():
         assert apart[0] <= 2 * gone and apart[1] <= size
         assert apart[0] >= 1.5 * min(gone, 60)
     assert parity_maps([], 2048).shape == (0, 32)
+
+
+def test_small_tables_are_stored_in_few_parts(spark, monkeypatch):
+    draw = random.Random(5)
+    words = [f"w{draw.randrange(5000)}" for _ in range(200)]
+    texts = [(i, " ".join([*words, f"x{i}"])) for i in range(60)] + [(100, "a text of its own"), (101, None)]
+    parts = []
+
+    def stored(df):
+        parts.append((out := saved(df)).rdd.getNumPartitions())
+        return out
+
+    saved = near_dedup.saved
+    monkeypatch.setattr(near_dedup, "saved", stored)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, size=2).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {i: 0 for i in range(60)} | {100: 100, 101: 101}
+    assert max(parts) <= 8
