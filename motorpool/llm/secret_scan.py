@@ -45,7 +45,7 @@ _SPAN = "struct<at:int,kind_order:int,end:int,kind:string>"
 
 
 def _bound(value, use):
-    """use(value) with value worked out once however often use() names it."""
+    """use(value) with value worked out, and written into the plan, once however often use() names it."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
@@ -86,9 +86,11 @@ def base_spans(text):
 
 def _upper_tail(z):
     """P(Z > z) of the standard normal for z >= 0 (error below 1e-7)."""
-    t = 1 / (1 + 0.2316419 * z)
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    return F.exp(-z * z / 2) / F.sqrt(F.lit(6.283185307179586)) * poly
+    def tail(z, t):
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        return F.exp(-z * z / 2) / F.sqrt(F.lit(6.283185307179586)) * poly
+
+    return _bound(z, lambda z: _bound(1 / (1 + 0.2316419 * z), lambda t: tail(z, t)))
 
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -129,49 +131,66 @@ def _codes(token):
 def _chi_tail(chi, freedom):
     """P(X > chi) of chi-squared, by Wilson and Hilferty's normal."""
     z = (F.pow(F.greatest(chi, F.lit(0.0)) / freedom, F.lit(1 / 3)) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
-    return F.when(z > 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z))
+    return _bound(z, lambda z: _bound(_upper_tail(F.abs(z)), lambda tail: F.when(z > 0, tail).otherwise(1 - tail)))
 
 
 def _kinds_tested(hit, encoding):
     """p-value of how many capitals, small letters and others a token has."""
+    def tested(counts):
+        n, upper, lower, other = (counts[c] for c in ("n", "upper", "lower", "other"))
+        out = F.lit(1.0)
+        for i, (_, alphabet) in enumerate(ENCODINGS):
+            k, up, low = len(alphabet), sum(c in _UPPER for c in alphabet), sum(c in _LOWER for c in alphabet)
+            kinds = [(c, size) for c, size in ((upper, up), (lower, low), (other, k - up - low)) if size]
+            chi = sum((c - n * (size / k)) * (c - n * (size / k)) / (n * (size / k)) for c, size in kinds)
+            out = F.when(encoding == i, _chi_tail(chi, F.lit(float(len(kinds) - 1)))).otherwise(out)
+        return out
+
     n = F.char_length(hit).cast("double")
     upper = n - F.char_length(F.regexp_replace(hit, "[A-Z]", ""))
     lower = n - F.char_length(F.regexp_replace(hit, "[a-z]", ""))
-    out = F.lit(1.0)
-    for i, (_, alphabet) in enumerate(ENCODINGS):
-        k, up, low = len(alphabet), sum(c in _UPPER for c in alphabet), sum(c in _LOWER for c in alphabet)
-        kinds = [(c, size) for c, size in ((upper, up), (lower, low), (n - upper - lower, k - up - low)) if size]
-        chi = sum((c - n * (size / k)) * (c - n * (size / k)) / (n * (size / k)) for c, size in kinds)
-        out = F.when(encoding == i, _chi_tail(chi, F.lit(float(len(kinds) - 1)))).otherwise(out)
-    return out
+    first = F.struct(n.alias("n"), upper.alias("upper"), lower.alias("lower"))
+    return _bound(first, lambda c: _bound(
+        F.struct(c["n"].alias("n"), c["upper"].alias("upper"), c["lower"].alias("lower"),
+                 (c["n"] - c["upper"] - c["lower"]).alias("other")), tested))
 
 
 def _tested(codes, letters, p_kinds):
     """p-value of the battery for a list of places in an alphabet of so many letters."""
-    n, k = F.size(codes).cast("double"), letters.cast("double")
-    squares = F.aggregate(
-        F.array_distinct(codes), F.lit(0.0),
-        lambda acc, c: acc + F.pow(F.size(F.filter(codes, lambda x: x == c)).cast("double"), F.lit(2.0)))
-    p_chi = _chi_tail(k / n * squares - n, k - 1)
-    high = F.transform(codes, lambda c: (c >= letters / 2).cast("int"))
-    above = F.aggregate(high, F.lit(0), lambda a, x: a + x).cast("double")
-    below = n - above
-    steps = F.slice(codes, 2, F.size(codes) - 1)
-    changes = F.aggregate(
-        F.zip_with(F.slice(high, 1, F.size(codes) - 1), F.slice(high, 2, F.size(codes) - 1), lambda a, b: (a != b).cast("int")),
-        F.lit(0), lambda a, x: a + x)
-    mean = 2 * above * below / n + 1
-    spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-    # One side empty: as unlikely as n equal throws.
-    p_runs = F.when((above == 0) | (below == 0), F.pow(F.lit(2.0), 1 - n)).otherwise(
-        2 * _upper_tail(F.abs(changes + 1 - mean) / spread))
-    centre = (k - 1) / 2
-    products = F.aggregate(
-        F.zip_with(F.slice(codes, 1, F.size(codes) - 1), steps, lambda a, b: (a - centre) * (b - centre)),
-        F.lit(0.0), lambda acc, x: acc + x)
-    # Variance of a product of two places drawn alike: that of one place, squared.
-    p_serial = 2 * _upper_tail(F.abs(products) / (((k * k - 1) / 12) * F.sqrt(n - 1)))
-    return F.least(F.lit(1.0), 4 * F.least(p_chi, p_kinds, p_runs, p_serial))
+    def tested(v):
+        n, k, high, above = (v[c] for c in ("n", "k", "high", "above"))
+        squares = F.aggregate(
+            F.array_distinct(codes), F.lit(0.0),
+            lambda acc, c: acc + F.pow(F.size(F.filter(codes, lambda x: x == c)).cast("double"), F.lit(2.0)))
+        p_chi = _chi_tail(k / n * squares - n, k - 1)
+        below = n - above
+        steps = F.slice(codes, 2, F.size(codes) - 1)
+        changes = F.aggregate(
+            F.zip_with(F.slice(high, 1, F.size(codes) - 1), F.slice(high, 2, F.size(codes) - 1), lambda a, b: (a != b).cast("int")),
+            F.lit(0), lambda a, x: a + x)
+
+        def runs(mean):
+            spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+            # One side empty: as unlikely as n equal throws.
+            return F.when((above == 0) | (below == 0), F.pow(F.lit(2.0), 1 - n)).otherwise(
+                2 * _upper_tail(F.abs(changes + 1 - mean) / spread))
+
+        p_runs = _bound(2 * above * below / n + 1, runs)
+        centre = (k - 1) / 2
+        products = F.aggregate(
+            F.zip_with(F.slice(codes, 1, F.size(codes) - 1), steps, lambda a, b: (a - centre) * (b - centre)),
+            F.lit(0.0), lambda acc, x: acc + x)
+        # Variance of a product of two places drawn alike: that of one place, squared.
+        p_serial = 2 * _upper_tail(F.abs(products) / (((k * k - 1) / 12) * F.sqrt(n - 1)))
+        return F.least(F.lit(1.0), 4 * F.least(p_chi, p_kinds, p_runs, p_serial))
+
+    def counted(high):
+        above = F.aggregate(high, F.lit(0), lambda a, x: a + x).cast("double")
+        return _bound(F.struct(
+            F.size(codes).cast("double").alias("n"), letters.cast("double").alias("k"),
+            high.alias("high"), above.alias("above")), tested)
+
+    return _bound(F.transform(codes, lambda c: (c >= letters / 2).cast("int")), counted)
 
 
 def _tokens(text):

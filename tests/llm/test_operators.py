@@ -9,6 +9,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from motorpool.llm import (
     block_dedup, chunks, decontamination, html_text, language, near_dedup, nearest, packing, private_data,
@@ -289,6 +290,17 @@ def test_identifiers_and_paths_are_no_secrets(spark):
     assert sum(i < 1000 for i in found) <= 0.05 * len(found)
 
 
+def test_battery_writes_each_value_once(spark):
+    tokens = ["TheQuickBrownFoxJumps", "0f" * 10, "AB" * 12, "zK3+" * 6, "a" * 20]
+    table = spark.createDataFrame([(t,) for t in tokens], "hit string")
+    tested = table.select("hit", secret_scan._p(F.col("hit"), secret_scan._encoding(F.col("hit"))).alias("p"))
+    plan = tested._jdf.queryExecution().analyzed().toString()
+    # A plan that repeats them by the hundred takes the driver's memory.
+    assert plan.count("regexp_replace(") == 2 and plan.count("array_distinct(") == 1
+    assert len(plan) < 40_000
+    assert all(0 <= p < 1e-3 for t, p in rows(tested, "hit", "p") if t != "TheQuickBrownFoxJumps")
+
+
 def test_private_data(spark):
     table = [
         (1, "é mail a.b@c-d.example.org, ip 10.0.0.1 and 300.1.1.1"), (2, "card 4111 1111 1111 1111, 4111111111111112"),
