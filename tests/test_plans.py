@@ -324,3 +324,25 @@ def test_the_wide_view_meets_users_and_vehicles_while_rows_are_narrow(spark, tmp
     wide = star.denormalized_transactions(tables["fact_transactions"], *dimensions, rentals)
     assert joins == [(c, rentals) for c in ("user_id", "vehicle_id", "pickup_location", "dropoff_location")]
     assert rows_of(wide) == rows_of(tables["denormalized_transactions"])
+
+
+@pytest.mark.parametrize("limit, times", [("-1", 1), ("64m", 0)])
+def test_rows_between_two_shuffled_joins_can_be_stored(spark, tmp_path, limit, times):
+    warehouse = opened(spark, tmp_path)
+    tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
+    dimensions = [tables[n] for n in ("dim_users", "dim_vehicles", "dim_locations")]
+    stored = []
+
+    def keep(rows):
+        stored.append(rows.columns)
+        rows.write.parquet(str(tmp_path / "between"))
+        return spark.read.parquet(str(tmp_path / "between"))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        wide = star.denormalized_transactions(tables["fact_transactions"], *dimensions, stored=keep)
+        assert rows_of(wide) == rows_of(tables["denormalized_transactions"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(stored) == times
+    assert all("email" in columns and "brand" not in columns for columns in stored)
