@@ -151,6 +151,50 @@ def test_days_accumulate_and_repeats_change_nothing(spark, tmp_path):
     assert {n: rows_of(repeat[n]) for n in names} == seen
 
 
+def test_a_run_writes_only_what_its_sources_changed(spark, tmp_path):
+    warehouse, first = opened(spark, tmp_path), base(spark)
+    now = T(2025, 7, 2, 20)
+    derived = ["dim_users", "dim_vehicles", "users_summary", "vehicles_summary"]
+    histories = ["snapshot_users", "snapshot_vehicles"]
+
+    def numbers():
+        return {n: warehouse.generation(n) for n in derived} | {n: warehouse.history(n).generation for n in histories}
+
+    seen = run_day(warehouse, first, now)
+    rows = {n: rows_of(seen[n]) for n in derived + histories}
+    assert set(numbers().values()) == {0}
+    # The window is empty now: histories, dimensions and summaries stay.
+    again = run_day(warehouse, first, now)
+    assert set(numbers().values()) == {0}
+    assert {n: rows_of(again[n]) for n in derived + histories} == rows
+    # Ages count up to another day: no history is written, the dimensions are, and what they label.
+    tables = run_day(warehouse, first, now, as_of=D(2026, 7, 5))
+    assert numbers() == dict.fromkeys(derived, 1) | dict.fromkeys(histories, 0)
+    assert {r["age_account"] for r in tables["users_summary"].collect()} == {369}
+    # A rental more: the dimensions stay, the summaries follow the partials.
+    more = sources(spark, [], [], [rental("r8", T(2025, 7, 3, 9), "u2")])
+    tables = run_day(warehouse, more, T(2025, 7, 3, 20), as_of=D(2026, 7, 5))
+    assert numbers() == dict.fromkeys(derived, 1) | dict.fromkeys(histories, 0) | {
+        "users_summary": 2, "vehicles_summary": 2}
+    totals = tables["users_summary"].select("user_id", "total_transactions")
+    assert rows_of(totals) == rows_of(
+        tables["fact_transactions"].groupBy("user_id").agg(F.count("*").alias("n")))
+    # A renamed user: their history, dimension and label, and nothing of the vehicles' dimension.
+    named = sources(spark, [user("u2", "Zoe", updated=D(2025, 7, 4))], [], [])
+    tables = run_day(warehouse, named, T(2025, 7, 4, 20), as_of=D(2026, 7, 5))
+    assert numbers() == {
+        "dim_users": 2, "dim_vehicles": 1, "users_summary": 3, "vehicles_summary": 3,
+        "snapshot_users": 1, "snapshot_vehicles": 0}
+    assert "zoe lee" in {r["full_name"] for r in tables["users_summary"].collect()}
+
+
+def test_a_total_of_money_is_worked_out_once_for_both_columns(spark, tmp_path):
+    warehouse = opened(spark, tmp_path)
+    tables = run_day(warehouse, base(spark), T(2025, 7, 2, 20))
+    plan = executed_plan(rollups.users_summary(warehouse, tables["dim_users"], tables["dim_vehicles"]))
+    assert "_money" in plan
+
+
 def test_marts_equal_the_wide_view(spark, tmp_path):
     """The marts skip the wide view; grouping the view itself gives the same rows."""
     warehouse = opened(spark, tmp_path)

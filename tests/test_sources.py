@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from motorpool import schemas
 from motorpool.plans import staging
-from motorpool.session import shared_dir
+from motorpool.session import CLEANUP, shared_dir, shuffles_dropped
 from motorpool.sources import (
     PartitionedState, StartDate, Warehouse, create_layers, day_slices, land_extract, load_raw,
     read_csv, recreate_table, write_csv,
@@ -247,3 +248,53 @@ def test_kinds(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def shuffle_files(spark):
+    """Files of shuffles that this session holds."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (blocks.apply(i).getName() for i in range(blocks.size())) if f.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_finished_query_are_dropped(spark, tmp_path):
+    before = shuffle_files(spark)
+    setting = spark.conf.get(CLEANUP)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with shuffles_dropped(spark):
+        rows.select("k", "count").write.parquet(str(tmp_path / "counted"))
+    assert spark.conf.get(CLEANUP) == setting
+    for _ in range(50):  # they are removed beside the query
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    assert spark.read.parquet(str(tmp_path / "counted")).agg(F.sum("count")).first()[0] == 1000
+
+
+def test_a_derived_table_is_written_when_its_sources_or_columns_change(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+
+    def written(rows, built_from):
+        found = rows_of(warehouse.materialize("dim_users", "table", rows, built_from))
+        return found, warehouse.generation("dim_users")
+
+    two, three = [(0,), (1,)], [(0,), (1,), (2,)]
+    assert warehouse.generation("dim_users") is None
+    assert written(spark.range(2), "a") == (two, 0)
+    assert written(spark.range(2), "a") == (two, 0)
+    assert written(spark.range(3), "b") == (three, 1)
+    assert written(spark.range(3).toDF("other"), "b") == (three, 2)
+    # Without a word on its sources it is always written.
+    assert written(spark.range(2), None) == (two, 3)
+    assert written(spark.range(2), None) == (two, 4)
+
+
+def test_a_list_written_before_tables_said_what_they_were_built_from(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.materialize("dim_users", "table", spark.range(2), "a")
+    path = f"{warehouse.path('dim_users')}/live/gen=0"
+    entries = spark.read.parquet(path).drop("built_from")
+    spark.createDataFrame(entries.collect(), entries.schema).write.mode("overwrite").parquet(path)
+    assert rows_of(warehouse.table("dim_users")) == [(0,), (1,)]
+    warehouse.materialize("dim_users", "table", spark.range(3), "a")
+    assert warehouse.generation("dim_users") == 1
